@@ -1,0 +1,59 @@
+"""Equi-join that holds when a few keys carry most of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_UNHASHABLE = (T.MapType, T.VariantType)
+
+
+def heavy_keys(facts: DataFrame, on: Sequence[str], most: int, at_least: int) -> DataFrame:
+    """The heaviest keys: ``most`` at the utmost, each with ``at_least`` rows."""
+    counted = facts.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= at_least)
+    return counted.orderBy(F.desc("_rows")).limit(most).select(*on)
+
+
+def salted_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    spread_by: Sequence[str] | None = None,
+    salts: int = 64,
+    most: int = 64,
+    at_least: int = 1_000_000,
+) -> DataFrame:
+    """Join ``facts`` to ``lookup``, the heavy keys of ``facts`` spread over ``salts`` tasks.
+
+    Only the lookup rows of heavy keys are repeated. After the ``most`` heaviest keys are
+    spread, no other key can hold more than 1/(most + 1) of the rows. The list of heavy
+    keys has at most ``most`` rows, hence the broadcasts. Rows without a key match nothing
+    and are spread too. The salt is a hash of the row, so a retried task repeats it.
+    ``how`` is any join type that keeps or drops rows of ``facts``.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type: {how}")
+    on = list(on)
+    if spread_by is None:
+        spread_by = [f.name for f in facts.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
+    heavy = F.broadcast(heavy_keys(facts, on, most, at_least).withColumn("_heavy", F.lit(True)))
+    no_key = F.lit(False)
+    for name in on:
+        no_key = no_key | F.col(name).isNull()
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    left = (
+        facts.join(heavy, on, "left")
+        .withColumn("_salt", F.when(F.col("_heavy") | no_key, spread).otherwise(F.lit(0)))
+        .drop("_heavy")
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    right = (
+        lookup.join(heavy, on, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0)))))
+        .drop("_heavy")
+    )
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
