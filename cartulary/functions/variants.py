@@ -6,14 +6,14 @@ with a JSON null is a variant null, and anything else is a value.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Rule = Callable[[Column], Column]
 
-_NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+_WHOLE_OR_BINARY = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 
 
 def field(value: Column, *names: str) -> Column:
@@ -24,7 +24,7 @@ def field(value: Column, *names: str) -> Column:
 
 def kind(value: Column) -> Column:
     """BOOLEAN, STRING, BIGINT, DECIMAL, DOUBLE, OBJECT, ARRAY or VOID."""
-    return F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1)
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
 
 
 def is_bool(value: Column) -> Column:
@@ -36,7 +36,8 @@ def is_string(value: Column) -> Column:
 
 
 def is_number(value: Column) -> Column:
-    return F.schema_of_variant(value).rlike(_NUMBER)
+    schema = F.schema_of_variant(value)
+    return schema.isin(*_WHOLE_OR_BINARY) | schema.startswith("DECIMAL")
 
 
 def is_object(value: Column) -> Column:
@@ -72,6 +73,17 @@ def as_fields(value: Column) -> Column:
     return value.try_cast("map<string,variant>")
 
 
+def as_members(value: Column, names: Iterable[str]) -> Column:
+    """struct<name:variant, …> of an object in one pass, or NULL when it is not one."""
+    inner = ",".join(f"`{name}`:variant" for name in names)
+    return F.try_variant_get(value, "$", f"struct<{inner}>")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def as_variant(value: Column) -> Column:
     return value.cast("variant")
 
@@ -100,17 +112,22 @@ def truthy_text(value: Column) -> Column:
 
 
 def edit_fields(value: Column, rules: Mapping[str, Rule]) -> Column:
-    """Rewrite the listed members of an object; other members, and non-objects, stay."""
-
-    def rewrite(name: Column, member: Column) -> Column:
-        edited = None
-        for key, rule in rules.items():
-            hit = name == key
-            edited = F.when(hit, rule(member)) if edited is None else edited.when(hit, rule(member))
-        return member if edited is None else edited.otherwise(member)
+    """Rewrite the listed members of an object; other members, and non-objects, stay.
 
+    Names with the same rule share one branch.
+    """
     if not rules:
         return value
+    names_of: dict[Rule, list[str]] = {}
+    for name, rule in rules.items():
+        names_of.setdefault(rule, []).append(name)
+
+    def rewrite(name: Column, member: Column) -> Column:
+        edited = F
+        for rule, names in names_of.items():
+            edited = edited.when(name.isin(*names), rule(member))
+        return edited.otherwise(member)
+
     edited = F.to_variant_object(F.transform_values(as_fields(value), rewrite))
     return F.when(is_object(value), edited).otherwise(value)
 

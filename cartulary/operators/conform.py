@@ -7,26 +7,29 @@ would let through: a quoted number is not a number.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartulary.functions.plan import compute_once
+from cartulary.functions.rules import Each, Fields, Leaf
 from cartulary.functions.variants import (
     Rule,
     as_elements,
     as_fields,
+    as_members,
     as_text,
-    field,
     is_bool,
     is_number,
-    is_object,
     is_present,
     is_string,
     kind,
+    let,
 )
 
+_FIELDS, _EDITED = "_fields", "_edited"
 VIOLATION = "struct<path:string,position:int,expected:string,found:string,value:string,issue:string>"
 
 
@@ -51,17 +54,34 @@ def _type_name(dtype: T.DataType) -> str:
     return "object" if isinstance(dtype, (T.StructType, T.MapType)) else dtype.typeName()
 
 
-def conform_value(value: Column, dtype: T.DataType, mode: str = "permissive", path: str = "$") -> Column:
-    """Typed column for a VARIANT; in strict mode a mismatch raises when the row is read."""
+def conform_value(
+    value: Column, dtype: T.DataType, mode: str = "permissive", path: str = "$", rule: Rule | None = None
+) -> Column:
+    """Typed column for a VARIANT, read through a rule if there is one.
+
+    In strict mode a mismatch raises when the row is read. A rule may turn a mismatch into
+    null on purpose, so strict mode looks at the normalised value.
+    """
+    if rule is not None and (mode == "strict" or not isinstance(rule, (Leaf, Fields, Each))):
+        return conform_value(rule(value), dtype, mode, path)
+    if isinstance(rule, Leaf):
+        return rule.read(value)
     if isinstance(dtype, T.StructType):
-        members = [
-            conform_value(field(value, f.name), f.dataType, mode, f"{path}.{f.name}").alias(f.name)
-            for f in dtype.fields
-        ]
-        typed = F.when(is_object(value), F.struct(*members))
+        inner = rule.rules if isinstance(rule, Fields) else {}
+
+        def struct(m: Column) -> Column:
+            typed = [
+                conform_value(m[f.name], f.dataType, mode, f"{path}.{f.name}", inner.get(f.name)).alias(f.name)
+                for f in dtype.fields
+            ]
+            return F.when(m.isNotNull(), F.struct(*typed))
+
+        typed = let(as_members(value, dtype.names), struct)
     elif isinstance(dtype, T.ArrayType):
+        items = rule.elements(value) if isinstance(rule, Each) else as_elements(value)
+        inner_rule = rule.rule if isinstance(rule, Each) else None
         typed = F.transform(
-            as_elements(value), lambda e: conform_value(e, dtype.elementType, mode, f"{path}[]")
+            items, lambda e: conform_value(e, dtype.elementType, mode, f"{path}[]", inner_rule)
         )
     elif isinstance(dtype, T.MapType):
         typed = F.transform_values(
@@ -74,7 +94,17 @@ def conform_value(value: Column, dtype: T.DataType, mode: str = "permissive", pa
     problem = F.concat(
         F.lit(f"{path}: expected {_type_name(dtype)}, found "), kind(value), F.lit(": "), as_text(value)
     )
-    return F.when(is_present(value) & typed.isNull(), F.raise_error(problem).cast(dtype)).otherwise(typed)
+    return F.coalesce(typed, F.when(is_present(value), F.raise_error(problem).cast(dtype)))
+
+
+def _edited(rules: Mapping[str, Rule], name: str) -> Column:
+    value = F.col(_FIELDS)[name]
+    return rules[name](value) if name in rules else value
+
+
+def _fields(df: DataFrame, doc: str, schema: T.StructType) -> DataFrame:
+    """Add the declared fields as one struct of VARIANTs."""
+    return compute_once(df, **{_FIELDS: as_members(F.col(doc), schema.names)})
 
 
 def conform(
@@ -87,20 +117,26 @@ def conform(
 ) -> DataFrame:
     """Select ``keep`` and the declared fields of the document column.
 
-    ``rules`` normalises each field on the way, which spares rebuilding the document.
+    ``rules`` normalises each field on the way.
     Modes: ``permissive`` (mismatch → null), ``compat`` (booleans count as doubles too)
     and ``strict`` (mismatch fails the job).
     """
     if mode not in ("permissive", "compat", "strict"):
         raise ValueError(f"unknown mode: {mode}")
     rules = rules or {}
-    columns = []
-    for f in schema.fields:
-        value = field(F.col(doc), f.name)
-        if f.name in rules:
-            value = rules[f.name](value)
-        columns.append(conform_value(value, f.dataType, mode, f.name).alias(f.name))
-    return df.select(*keep, *columns)
+    columns = [
+        conform_value(F.col(_FIELDS)[f.name], f.dataType, mode, f.name, rules.get(f.name)).alias(f.name)
+        for f in schema.fields
+    ]
+    return _fields(df, doc, schema).select(*keep, *columns)
+
+
+def _fits(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return is_string(value)
+    if isinstance(dtype, T.BooleanType):
+        return is_bool(value)
+    return is_number(value)
 
 
 def mismatches(value: Column, dtype: T.DataType, path: str, position: Column | None = None) -> Column:
@@ -109,40 +145,43 @@ def mismatches(value: Column, dtype: T.DataType, path: str, position: Column | N
     at = F.lit(None).cast("int") if position is None else position
 
     def report(issue: str) -> Column:
-        found = F.lower(kind(value))
         row = F.struct(
             F.lit(path).alias("path"),
             at.alias("position"),
             F.lit(_type_name(dtype)).alias("expected"),
-            found.alias("found"),
+            F.lower(kind(value)).alias("found"),
             as_text(value).alias("value"),
             F.lit(issue).alias("issue"),
         )
         return F.array(row.cast(VIOLATION))
 
+    def container(content: Column, places: Callable[[Column], Column]) -> Column:
+        def inner(c: Column) -> Column:
+            return F.when(c.isNotNull(), places(c)).when(is_present(value), report("type")).otherwise(none)
+
+        return F.when(value.isNull(), none).otherwise(let(content, inner))
+
     if isinstance(dtype, T.StructType):
-        inner = F.concat(
-            *[mismatches(field(value, f.name), f.dataType, f"{path}.{f.name}", position) for f in dtype.fields]
+        return container(
+            as_members(value, dtype.names),
+            lambda m: F.concat(
+                *[mismatches(m[f.name], f.dataType, f"{path}.{f.name}", position) for f in dtype.fields]
+            ),
         )
-        return F.when(is_object(value), inner).when(is_present(value), report("type")).otherwise(none)
     if isinstance(dtype, T.ArrayType):
-        items = as_elements(value)
-        inner = F.flatten(
-            F.transform(
-                items,
-                lambda e, i: mismatches(
-                    e, dtype.elementType, f"{path}[]", i + 1 if position is None else position
-                ),
-            )
-        )
-        return F.when(items.isNotNull(), inner).when(is_present(value), report("type")).otherwise(none)
+
+        def element(e: Column, i: Column) -> Column:
+            return mismatches(e, dtype.elementType, f"{path}[]", i + 1 if position is None else position)
+
+        return container(as_elements(value), lambda items: F.flatten(F.transform(items, element)))
     if isinstance(dtype, T.MapType):
-        items = as_fields(value)
-        inner = F.flatten(
-            F.transform(F.map_values(items), lambda e: mismatches(e, dtype.valueType, f"{path}.*", position))
+        return container(
+            as_fields(value),
+            lambda items: F.flatten(
+                F.transform(F.map_values(items), lambda e: mismatches(e, dtype.valueType, f"{path}.*", position))
+            ),
         )
-        return F.when(items.isNotNull(), inner).when(is_present(value), report("type")).otherwise(none)
-    found = F.when(is_present(value) & _leaf(value, dtype, "permissive").isNull(), report("type"))
+    found = F.when(is_present(value) & ~_fits(value, dtype), report("type"))
     if isinstance(dtype, T.LongType):
         exact = F.try_variant_get(value, "$", "double")
         found = found.when(is_number(value) & (exact != F.floor(exact)), report("lossy"))
@@ -157,13 +196,10 @@ def violations(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per value that ``conform`` turned into null or cut to fit."""
-    rules = rules or {}
-    parts = []
-    for f in schema.fields:
-        value = field(F.col(doc), f.name)
-        value = rules[f.name](value) if f.name in rules else value
-        parts.append(mismatches(value, f.dataType, f.name))
-    return df.select(*keep, F.inline(F.concat(*parts)))
+    edited = F.struct(*[_edited(rules or {}, name).alias(name) for name in schema.names])
+    normal = compute_once(_fields(df, doc, schema), **{_EDITED: edited})
+    parts = [mismatches(F.col(_EDITED)[f.name], f.dataType, f.name) for f in schema.fields]
+    return normal.select(*keep, F.inline(F.concat(*parts)))
 
 
 def infer_schema(df: DataFrame, doc: str) -> DataFrame:

@@ -2,38 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.functions.variants import as_elements, as_fields, kind
-
-ENTRY = "struct<path:string,type:string>"
-
-
-def _entries(value: Column, path: Column, depth: int) -> Column:
-    """(path, type) of every member below ``value``, ``depth`` levels down."""
-    none = F.array().cast(f"array<{ENTRY}>")
-    if depth == 0:
-        return none
-
-    def member(entry: Column) -> Column:
-        name = F.concat(path, F.when(path == "", F.lit("")).otherwise(F.lit(".")), entry["key"])
-        here = F.array(F.struct(name.alias("path"), kind(entry["value"]).alias("type")).cast(ENTRY))
-        return F.concat(here, _entries(entry["value"], name, depth - 1))
-
-    def item(element: Column) -> Column:
-        name = F.concat(path, F.lit("[]"))
-        here = F.array(F.struct(name.alias("path"), kind(element).alias("type")).cast(ENTRY))
-        return F.concat(here, _entries(element, name, depth - 1))
-
-    fields, elements = as_fields(value), as_elements(value)
-    return (
-        F.when(fields.isNotNull(), F.flatten(F.transform(F.map_entries(fields), member)))
-        .when(elements.isNotNull(), F.flatten(F.transform(elements, item)))
-        .otherwise(none)
-    )
-
+from cartulary.functions.variants import kind
 
 def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
     """Paths of a schema in the notation of the report: ``a.b``, ``list[].c``."""
@@ -51,10 +24,37 @@ def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
 def observed_paths(df: DataFrame, doc: str, depth: int = 4) -> DataFrame:
     """``path, type, n`` over all documents, in one scan with map-side counts.
 
-    A container at the depth bound is itself reported, its content is not.
+    Every level unfolds the members of the level above, so that a row is a leaf with the
+    path that leads to it. A container is counted on the row of its first descendant. A
+    container at the depth bound is itself reported, its content is not.
     """
-    entries = _entries(F.col(doc), F.lit(""), depth)
-    return df.select(F.inline(entries)).groupBy("path", "type").agg(F.count("*").alias("n"))
+    unfold = df.sparkSession.tvf.variant_explode_outer
+    rows = df.select(F.lit("").alias("_path_0"), F.col(doc).alias("_value_0"))
+    for n in range(1, depth + 1):
+        above, key = F.col(f"_path_{n - 1}"), F.col(f"_key_{n}")
+        path = (
+            F.when(F.col(f"_pos_{n}").isNull(), None)
+            .when(key.isNull(), F.concat(above, F.lit("[]")))
+            .when(above == "", key)
+            .otherwise(F.concat(above, F.lit("."), key))
+        )
+        rows = (
+            rows.lateralJoin(unfold(F.col(f"_value_{n - 1}").outer()))
+            .withColumnsRenamed({name: f"_{name}_{n}" for name in ("pos", "key", "value")})
+            .withColumn(f"_path_{n}", path)
+        )
+    entries = []
+    first = F.lit(True)
+    for n in range(depth, 0, -1):
+        kind_here = kind(F.col(f"_value_{n}"))
+        if n < depth:
+            below, key = F.col(f"_pos_{n + 1}"), F.col(f"_key_{n + 1}")
+            kind_here = F.when(below.isNull(), kind_here).when(key.isNull(), "ARRAY").otherwise("OBJECT")
+        seen = F.col(f"_path_{n}").isNotNull() & first
+        entries.append(F.when(seen, F.struct(F.col(f"_path_{n}").alias("path"), kind_here.alias("type"))))
+        first = first & (F.coalesce(f"_pos_{n}", F.lit(0)) == 0)
+    found = rows.select(F.inline(F.array(*entries))).filter(F.col("path").isNotNull())
+    return found.groupBy("path", "type").agg(F.count("*").alias("n"))
 
 
 def drift(df: DataFrame, doc: str, schema: T.StructType, depth: int = 4) -> DataFrame:

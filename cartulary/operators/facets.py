@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.functions.plan import compute_once
+
 
 def facet_counts(df: DataFrame, facets: Sequence[str], subtotals: str = "none") -> DataFrame:
     """Counts by facet values. ``subtotals`` is ``none``, ``rollup`` or ``cube``.
@@ -24,25 +26,17 @@ def facet_counts(df: DataFrame, facets: Sequence[str], subtotals: str = "none")
 def array_facets(df: DataFrame, values: Column) -> DataFrame:
     """Value counts of an array column: ``value, n, n_documents``; a row is a document.
 
-    Values are sorted within the row, so the first of equal neighbours marks the document
-    once and no distinct count is needed: one shuffle, combined on the map side.
+    Each row yields its values once as they are and once without repeats, so documents
+    are counted without a distinct aggregate: one shuffle, combined on the map side.
     """
-    sorted_rows = df.select(F.array_sort(values).alias("_values"))
-    marked = sorted_rows.select(
-        F.explode(
-            F.transform(
-                "_values",
-                lambda x, i: F.struct(
-                    x.alias("value"),
-                    F.when(
-                        (i == 0) | ~x.eqNullSafe(F.get(F.col("_values"), i - 1)), 1
-                    ).otherwise(0).alias("first"),
-                ),
-            )
-        ).alias("e")
+    both = F.array(
+        F.struct(F.col("_values").alias("values"), F.lit(0).alias("distinct")),
+        F.struct(F.array_distinct("_values").alias("values"), F.lit(1).alias("distinct")),
     )
-    return marked.groupBy(F.col("e.value").alias("value")).agg(
-        F.count("*").alias("n"), F.sum(F.col("e.first").cast("bigint")).alias("n_documents")
+    rows = compute_once(df, _values=values).select(F.inline(both))
+    exploded = rows.select(F.explode("values").alias("value"), "distinct")
+    return exploded.groupBy("value").agg(
+        F.count_if(F.col("distinct") == 0).alias("n"), F.count_if(F.col("distinct") == 1).alias("n_documents")
     )
 
 

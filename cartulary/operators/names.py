@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.functions.plan import compute_once
 from cartulary.functions.text import squeeze
 
 ALIAS_KINDS = ("name", "official_name", "common_names", "other_names", "acronyms")
@@ -38,12 +39,9 @@ def alias_entries(kinds: dict[str, Column]) -> Column:
 def alias_table(df: DataFrame, key: str, kinds: dict[str, Column]) -> DataFrame:
     """Distinct ``alias, id, kind`` with normalised aliases. ``kinds`` maps a kind to an
     array of text."""
-    rows = df.select(F.col(key).alias("id"), F.inline(alias_entries(kinds)))
-    return (
-        rows.select(squeeze(F.col("alias")).alias("alias"), "id", "kind")
-        .filter(F.col("alias") != "")
-        .distinct()
-    )
+    rows = df.select(F.col(key).alias("id"), F.inline(alias_entries(kinds))).withColumnRenamed("alias", "_spelling")
+    named = compute_once(rows, alias=squeeze(F.col("_spelling")))
+    return named.filter(F.col("alias") != "").select("alias", "id", "kind").distinct()
 
 
 def alias_meanings(aliases: DataFrame) -> DataFrame:
@@ -60,14 +58,16 @@ def alias_meanings(aliases: DataFrame) -> DataFrame:
 def resolve_mentions(mentions: DataFrame, mention: str, aliases: DataFrame) -> DataFrame:
     """``alias, n_mentions, n_ids, id, status`` for each distinct mention.
 
-    Mentions are counted and meanings folded before the join: one row per alias on either
-    side, so neither a frequent word nor an ambiguous alias multiplies rows.
+    Mentions are counted as they stand, then normalised, once per distinct spelling, and
+    counted again. Meanings are folded too, so the join has one row per alias on either
+    side and neither a frequent word nor an ambiguous alias multiplies rows.
     """
+    spelled = mentions.groupBy(F.col(mention).alias("_spelling")).agg(F.count("*").alias("_n"))
     counted = (
-        mentions.select(squeeze(F.col(mention)).alias("alias"))
+        compute_once(spelled, alias=squeeze(F.col("_spelling")))
         .filter(F.col("alias") != "")
         .groupBy("alias")
-        .agg(F.count("*").alias("n_mentions"))
+        .agg(F.sum("_n").alias("n_mentions"))
     )
     status = F.when(F.col("n_ids") == 0, "unknown").when(F.col("n_ids") == 1, "resolved").otherwise("ambiguous")
     return (

@@ -1,122 +1,33 @@
 """Normalisation of drifting types in documents.
 
-A rule maps a VARIANT to a VARIANT. Rules compose with ``edit_fields`` and
-``edit_elements``, so a rule set for one kind of document is a plain dict and the whole
-set runs as one projection.
+A rule set for one kind of document is a plain dict from field to rule, and the whole set
+runs as one projection.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.functions.variants import (
-    Rule,
-    as_elements,
-    as_fields,
-    as_text,
-    as_variant,
-    edit_elements,
-    edit_fields,
-    field,
-    is_array,
-    is_bool,
-    is_null,
-    is_object,
-    is_string,
-    keep_elements,
+from cartulary.functions.rules import (
+    Each,
+    Fields,
+    bool_token,
+    missing_number,
+    text_array,
+    text_field,
+    text_list,
 )
+from cartulary.functions.variants import edit_fields
 
+Rule = Callable[[Column], Column]
 
-def _token(value: Column) -> Column:
-    return as_variant(F.when(as_text(value) == "true", F.lit("yes")).otherwise(F.lit("no")))
 
-
-def bool_token(value: Column) -> Column:
-    """Boolean → "yes" / "no"; the rest, null included, stays."""
-    return F.when(is_bool(value), _token(value)).otherwise(value)
-
-
-def empty_for_null(value: Column) -> Column:
-    """Present null → ""; absent stays absent."""
-    return F.when(is_null(value), as_variant(F.lit(""))).otherwise(value)
-
-
-def text_field(value: Column) -> Column:
-    """Both rules for a scalar that should be text."""
-    return (
-        F.when(is_bool(value), _token(value))
-        .when(is_null(value), as_variant(F.lit("")))
-        .otherwise(value)
-    )
-
-
-def text_element(value: Column) -> Column:
-    """Element of a text list: boolean → "yes" / "no", anything else as text.
-
-    A null element becomes "None", as the published data has it.
-    """
-    return as_variant(
-        F.when(is_bool(value), F.when(as_text(value) == "true", "yes").otherwise("no"))
-        .when(is_null(value) | value.isNull(), F.lit("None"))
-        .otherwise(as_text(value))
-    )
-
-
-def text_list(value: Column) -> Column:
-    return edit_elements(value, text_element)
-
-
-def struct_list(keys: Sequence[str], rule: Rule = text_field) -> Rule:
+def struct_list(keys: Sequence[str], rule: Rule = text_field, **options: bool) -> Each:
     """Apply a rule to the listed keys of every object in a list."""
-    return lambda value: edit_elements(value, lambda e: edit_fields(e, dict.fromkeys(keys, rule)))
-
-
-def empty_list_for_null(rule: Rule) -> Rule:
-    """Present null → [] before the list rule; absent stays absent."""
-    empty = F.to_variant_object(F.array().cast("array<string>"))
-    return lambda value: F.when(is_null(value), empty).otherwise(rule(value))
-
-
-def objects_only(rule: Rule) -> Rule:
-    """Drop the elements that are not objects, then apply the rule."""
-    return lambda value: rule(keep_elements(value, is_object))
-
-
-def missing_number(mode: str = "zero") -> Rule:
-    """Null or boolean coordinate → 0.0, or null with ``mode="null"``."""
-    if mode not in ("zero", "null"):
-        raise ValueError(f"unknown mode: {mode}")
-    default = as_variant(F.lit(0.0)) if mode == "zero" else F.parse_json(F.lit("null"))
-    return lambda value: F.when(is_bool(value) | is_null(value), default).otherwise(value)
-
-
-def text_array(compat: bool = False) -> Rule:
-    """Null, text, object or list → list of text.
-
-    An object stands for its ``id``; ``compat`` takes its keys, as the published data has
-    it. Objects within a list give their ``id`` too; ``compat`` renders them as JSON text.
-    """
-
-    def element(e: Column) -> Column:
-        if compat:
-            return as_text(e)
-        return F.when(is_object(e), as_text(field(e, "id"))).otherwise(as_text(e))
-
-    def rule(value: Column) -> Column:
-        none = F.array().cast("array<string>")
-        keys = F.map_keys(as_fields(value)) if compat else F.array(as_text(field(value, "id")))
-        listed = (
-            F.when(is_null(value), none)
-            .when(is_string(value), F.array(as_text(value)))
-            .when(is_object(value), keys)
-            .when(is_array(value), F.transform(as_elements(value), element))
-        )
-        return F.when(listed.isNotNull(), F.to_variant_object(listed)).otherwise(value)
-
-    return rule
+    return Each(Fields(dict.fromkeys(keys, rule)), **options)
 
 
 # Which fields of each dataset hold text, and the keys within its lists.
@@ -138,23 +49,18 @@ def rules_for(dataset: str, compat: bool = False, coordinates: str = "zero") ->
     if dataset == "countries":
         return {}
     if dataset == "blocktypes":
-        names = empty_list_for_null(struct_list(["lang", "name"]))
+        names = struct_list(["lang", "name"], null_is_empty=True)
         return {"id": text_field, "name": text_field, "other_names": names}
     if dataset != "intblocks":
         raise ValueError(f"unknown dataset: {dataset}")
     number = missing_number(coordinates)
     rules: dict[str, Rule] = dict.fromkeys(BLOCK_TEXT_FIELDS, text_field)
     rules |= {name: struct_list(keys) for name, keys in BLOCK_LIST_KEYS.items()}
-    rules["translations"] = objects_only(struct_list(["lang", "name"], bool_token))
+    rules["translations"] = struct_list(["lang", "name"], bool_token, objects_only=True)
     rules["languages"] = text_list
     rules["partof"] = text_array(compat)
-    rules["headquarters"] = lambda v: edit_fields(
-        v,
-        {
-            "city": text_field,
-            "country": text_field,
-            "coordinates": lambda c: edit_fields(c, {"lat": number, "lng": number}),
-        },
+    rules["headquarters"] = Fields(
+        {"city": text_field, "country": text_field, "coordinates": Fields({"lat": number, "lng": number})}
     )
     return rules
 

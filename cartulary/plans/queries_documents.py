@@ -10,22 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartulary.functions.variants import as_elements, as_text, edit_fields, field, is_null, is_object
-from cartulary.operators.conform import conform, infer_schema, violations
-from cartulary.operators.drift import drift
-from cartulary.operators.normalize import (
+from cartulary.functions.rules import (
     bool_token,
     empty_for_null,
-    empty_list_for_null,
     missing_number,
-    normalise,
-    objects_only,
-    rules_for,
-    struct_list,
     text_array,
     text_field,
     text_list,
 )
+from cartulary.functions.variants import as_elements, as_text, edit_fields, field, is_null, is_object
+from cartulary.operators.conform import conform, infer_schema, violations
+from cartulary.operators.drift import drift
+from cartulary.operators.normalize import normalise, rules_for, struct_list
 from cartulary.plans.registry import Tables, arr, obj, query, quote
 from cartulary.schemas import legacy_schema
 from cartulary.sources.documents import (
@@ -40,7 +36,7 @@ from cartulary.sources.documents import (
 )
 from cartulary.sources.legacy import flatten_records
 
-NULL = F.lit("null")
+NULL = "null"
 
 
 def docs(df: DataFrame, text: Column, *keep: str) -> DataFrame:
@@ -248,7 +244,7 @@ def null_list(t: Tables) -> DataFrame:
         segment != "BUILDING", arr(obj(lang=F.lit("false"), name=quote(F.col("c_name"))))
     )
     parsed = docs(t.customer, obj(other_names=names), "c_custkey")
-    rule = empty_list_for_null(struct_list(["lang", "name"]))
+    rule = struct_list(["lang", "name"], null_is_empty=True)
     listed = as_elements(rule(field(F.col("doc"), "other_names")))
     return parsed.select(
         "c_custkey",
@@ -272,7 +268,7 @@ def struct_list_filter(t: Tables) -> DataFrame:
         name=F.when(user, NULL).otherwise(quote(F.col("text"))),
     )
     parsed = docs(t.conversations, obj(translations=arr(F.lit('"bare"'), entry, F.lit("7"))), "conv_id", "turn")
-    rule = objects_only(struct_list(["lang", "name"], bool_token))
+    rule = struct_list(["lang", "name"], bool_token, objects_only=True)
     kept = as_elements(rule(field(F.col("doc"), "translations")))
     first = F.get(kept, F.lit(0))
     return parsed.select(
@@ -426,10 +422,11 @@ def rule_dispatch(t: Tables) -> DataFrame:
     )
 
 
-ORDER_SCHEMA = T.StructType.fromDDL(
-    "key bigint, status string, urgent boolean, customer struct<key:bigint,note:string>,"
-    " items array<struct<k:bigint,s:string>>, absent string"
-)
+def order_schema() -> T.StructType:
+    return T.StructType.fromDDL(
+        "key bigint, status string, urgent boolean, customer struct<key:bigint,note:string>,"
+        " items array<struct<k:bigint,s:string>>, absent string"
+    )
 
 
 def order_text(key: Column | None = None, urgent: Column | None = None) -> Column:
@@ -467,7 +464,7 @@ def flat_order(df: DataFrame) -> DataFrame:
     """,
 )
 def conform_documents(t: Tables) -> DataFrame:
-    return flat_order(conform(docs(t.orders, order_text()), "doc", ORDER_SCHEMA))
+    return flat_order(conform(docs(t.orders, order_text()), "doc", order_schema()))
 
 
 @query(
@@ -480,7 +477,7 @@ def conform_documents(t: Tables) -> DataFrame:
     """,
 )
 def conform_strict(t: Tables) -> DataFrame:
-    return flat_order(conform(docs(t.orders, order_text()), "doc", ORDER_SCHEMA, mode="strict"))
+    return flat_order(conform(docs(t.orders, order_text()), "doc", order_schema(), mode="strict"))
 
 
 @query(
@@ -505,7 +502,7 @@ def conform_violations(t: Tables) -> DataFrame:
     )
     urgent = F.when(F.col("o_orderpriority") == "1-URGENT", "1").otherwise("false")
     parsed = docs(t.orders, order_text(key, urgent), "o_orderkey")
-    return violations(parsed, "doc", ORDER_SCHEMA, keep=["o_orderkey"])
+    return violations(parsed, "doc", order_schema(), keep=["o_orderkey"])
 
 
 @query(
@@ -532,4 +529,4 @@ def schema_inference(t: Tables) -> DataFrame:
     """,
 )
 def drift_report(t: Tables) -> DataFrame:
-    return drift(docs(t.orders, order_text()), "doc", ORDER_SCHEMA)
+    return drift(docs(t.orders, order_text()), "doc", order_schema())

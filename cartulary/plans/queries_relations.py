@@ -26,7 +26,7 @@ from cartulary.operators.membership import (
 )
 from cartulary.operators.names import alias_table, localised_name, resolve_mentions
 from cartulary.operators.unnest import unnest
-from cartulary.plans.queries_documents import ORDER_SCHEMA, block_text, docs, order_text
+from cartulary.plans.queries_documents import block_text, docs, order_schema, order_text
 from cartulary.plans.queries_links import HREF
 from cartulary.plans.registry import Tables, arr, obj, query, quote
 from cartulary.schemas import block_schema
@@ -99,7 +99,7 @@ def declared_count(t: Tables) -> DataFrame:
 )
 def unnest_filter_limit(t: Tables) -> DataFrame:
     text = F.when(F.col("o_orderstatus").isNull(), '{"key":').otherwise(order_text())
-    typed = conform(good_documents(docs(t.orders, text)), "doc", ORDER_SCHEMA)
+    typed = conform(good_documents(docs(t.orders, text)), "doc", order_schema())
     return unnest(typed, ["key", "status"], "items", F.col("element.s") == "2-HIGH", ["key", "k"], 50)
 
 

@@ -62,12 +62,16 @@ def quote(text: Column) -> Column:
     return F.to_json(text.cast("string").cast("variant"))
 
 
-def obj(**members: Column) -> Column:
+def _text(value: Column | str) -> Column:
+    return F.lit(value) if isinstance(value, str) else value.cast("string")
+
+
+def obj(**members: Column | str) -> Column:
     """JSON object text from member texts; a NULL member is absent, 'null' is present."""
-    parts = [F.concat(F.lit(f'"{name}":'), value.cast("string")) for name, value in members.items()]
+    parts = [F.concat(F.lit(f'"{name}":'), _text(value)) for name, value in members.items()]
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
-def arr(*items: Column) -> Column:
+def arr(*items: Column | str) -> Column:
     """JSON array text from element texts."""
-    return F.concat(F.lit("["), F.concat_ws(",", *[item.cast("string") for item in items]), F.lit("]"))
+    return F.concat(F.lit("["), F.concat_ws(",", *[_text(item) for item in items]), F.lit("]"))
