@@ -53,7 +53,9 @@ def scan_documents(spark: SparkSession, directory: str, glob: str = "*.json", pa
     """One document per file, all sub-directories included: ``path, doc, error``.
 
     Without a parser the text is JSON and stays on the JVM. A parser runs on the
-    executors, batch by batch, and only turns text into plain values.
+    executors, batch by batch, and only turns text into plain values. Spark's file sources
+    pass over files of length zero, so these give no row; a file with blanks or a comment
+    does, and counts as an empty document.
     """
     files = (
         spark.read.format("binaryFile")
