@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.operators.joins import salted_join
 from cartulary.session import enable_checkpoints
 
 
@@ -24,34 +25,36 @@ def missing_reverse(edge: DataFrame) -> DataFrame:
 def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int = 64) -> DataFrame:
     """All ``node, ancestor, depth`` with the least depth; a node is not its own ancestor.
 
-    Frontier join: each round climbs one level from the pairs found last and drops those
-    known already, which ends cycles. A round is written to the checkpoint folder, so the
-    plan stays short and a lost executor costs no earlier round. A parent without a row of
-    its own ends its branch. If ``max_depth`` levels do not suffice, this fails rather than
-    return part of the closure.
+    Each round doubles the reach: the pairs at exactly the present reach are continued by
+    all pairs found so far, and what is known already is dropped, which ends cycles. A
+    hierarchy of depth d takes about log2(d) rounds. A round is written to the checkpoint
+    folder, so the plan stays short and a lost executor costs no earlier round. An
+    ancestor that many nodes share is split. A parent without a row of its own ends its
+    branch. If ``max_depth`` levels do not suffice, this fails rather than return part of
+    the closure.
     """
     enable_checkpoints(edge.sparkSession)
-    step = (
-        edge.select(F.col(child).alias("_via"), F.col(parent).alias("_up"))
-        .filter(F.col("_up").isNotNull() & (F.col("_via") != F.col("_up")))
+    newest = (
+        edge.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
+        .filter(F.col("node").isNotNull() & F.col("ancestor").isNotNull() & (F.col("node") != F.col("ancestor")))
         .distinct()
         .checkpoint()
     )
-    frontier = step.select(
-        F.col("_via").alias("node"), F.col("_up").alias("ancestor"), F.lit(1).alias("depth")
-    )
-    found = frontier
-    for depth in range(2, max_depth + 2):
+    found, reach = newest, 1
+    while True:
+        farthest = newest.filter(F.col("depth") == reach).select(
+            F.col("node").alias("_start"), F.col("ancestor").alias("node")
+        )
         climbed = (
-            frontier.join(step, frontier["ancestor"] == step["_via"])
-            .select("node", F.col("_up").alias("ancestor"), F.lit(depth).alias("depth"))
-            .filter(F.col("node") != F.col("ancestor"))
-            .distinct()
+            salted_join(farthest, found, ["node"], "inner", ["_start"])
+            .filter(F.col("_start") != F.col("ancestor"))
+            .groupBy(F.col("_start").alias("node"), "ancestor")
+            .agg((F.min("depth") + reach).alias("depth"))
         )
-        frontier = climbed.join(found, ["node", "ancestor"], "left_anti").checkpoint()
-        if frontier.isEmpty():
+        newest = climbed.join(found, ["node", "ancestor"], "left_anti").checkpoint()
+        deepest = newest.agg(F.max("depth")).first()[0]
+        if deepest is None:
             return found
-        if depth > max_depth:
-            break
-        found = found.unionByName(frontier)
-    raise ValueError(f"hierarchy is deeper than {max_depth} levels")
+        if deepest > max_depth:
+            raise ValueError(f"hierarchy is deeper than {max_depth} levels")
+        found, reach = found.unionByName(newest), reach * 2

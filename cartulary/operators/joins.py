@@ -11,10 +11,18 @@ from pyspark.sql import types as T
 _UNHASHABLE = (T.MapType, T.VariantType)
 
 
-def heavy_keys(facts: DataFrame, on: Sequence[str], most: int, at_least: int) -> DataFrame:
-    """The heaviest keys: ``most`` at the utmost, each with ``at_least`` rows."""
-    counted = facts.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= at_least)
-    return counted.orderBy(F.desc("_rows")).limit(most).select(*on)
+# A part of a heavy key should hold about this many rows; parts are limited in number only
+# to keep the repeated lookup rows few.
+PART_ROWS = 1_000_000
+MOST_PARTS = 10_000
+MOST_KEYS = 1_024
+
+
+def heavy_keys(facts: DataFrame, on: Sequence[str], part_rows: int, most: int) -> DataFrame:
+    """The heaviest keys, at most ``most``, with the number of ``_parts`` to spread each over."""
+    counted = facts.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > part_rows)
+    parts = F.least(F.ceil(F.col("_rows") / part_rows), F.lit(MOST_PARTS)).cast("int")
+    return counted.orderBy(F.desc("_rows")).limit(most).select(*on, parts.alias("_parts"))
 
 
 def salted_join(
@@ -23,16 +31,16 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    salts: int = 64,
-    most: int = 64,
-    at_least: int = 1_000_000,
+    part_rows: int = PART_ROWS,
+    most: int = MOST_KEYS,
 ) -> DataFrame:
-    """Join ``facts`` to ``lookup``, the heavy keys of ``facts`` spread over ``salts`` tasks.
+    """Join ``facts`` to ``lookup``, the heavy keys of ``facts`` spread over many tasks.
 
-    Only the lookup rows of heavy keys are repeated. After the ``most`` heaviest keys are
-    spread, no other key can hold more than 1/(most + 1) of the rows. The list of heavy
-    keys has at most ``most`` rows, hence the broadcasts. Rows without a key match nothing
-    and are spread too. The salt is a hash of the row, so a retried task repeats it.
+    A key with more than ``part_rows`` rows is split into parts of about that size, and
+    only its lookup rows are repeated, once per part. With the ``most`` heaviest keys
+    split, no other can hold more than 1/(most + 1) of the rows. The list of heavy keys
+    has at most ``most`` rows, hence the broadcasts. Rows without a key match nothing and
+    are spread too. The part is a hash of the row, so a retried task repeats it.
     ``how`` is any join type that keeps or drops rows of ``facts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -40,20 +48,16 @@ def salted_join(
     on = list(on)
     if spread_by is None:
         spread_by = [f.name for f in facts.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
-    heavy = F.broadcast(heavy_keys(facts, on, most, at_least).withColumn("_heavy", F.lit(True)))
+    heavy = F.broadcast(heavy_keys(facts, on, part_rows, most))
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(name).isNull()
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    parts = F.when(no_key, F.lit(MOST_PARTS)).otherwise(F.coalesce("_parts", F.lit(1)))
     left = (
         facts.join(heavy, on, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | no_key, spread).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        lookup.join(heavy, on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_heavy")
+        .withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+        .drop("_parts")
     )
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    right = lookup.join(heavy, on, "left").withColumn("_part", F.explode(every)).drop("_parts")
+    return left.join(right, [*on, "_part"], how).drop("_part")

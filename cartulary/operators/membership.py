@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +44,15 @@ def members_at(intervals: DataFrame, day: Column) -> DataFrame:
     return intervals.filter((F.col("valid_from") <= day) & (day <= F.col("valid_to")))
 
 
-def join_as_of(facts: DataFrame, intervals: DataFrame, member: str, day: str) -> DataFrame:
-    """Facts with the memberships of their member in force on their day.
+def memberships_on_days(facts: DataFrame, intervals: DataFrame, member: str, day: str) -> DataFrame:
+    """Memberships in force for each member on each day it occurs in ``facts``.
 
-    The member is the equi-key, salted where it is hot; the interval is checked on the
-    joined row.
+    Facts are counted per member and day first (``n_facts``), so a hot member brings no
+    more rows than the calendar has days. The member is the equi-key, split where it is
+    heavy; the interval is checked on the joined row.
     """
-    joined = salted_join(facts, intervals, [member], "inner")
+    days = facts.groupBy(member, day).agg(F.count("*").alias("n_facts"))
+    joined = salted_join(days, intervals, [member], "inner")
     return joined.filter((F.col("valid_from") <= F.col(day)) & (F.col(day) <= F.col("valid_to")))
 
 
@@ -85,25 +85,27 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
     Adds ``n_first, n_second, n_shared, n_union``. The pairs to compare are data, such as
     the edges of a hierarchy: the members of the smaller block of each pair are looked up
     in the other, so the work is the sum of the smaller sizes and no member fans out to
-    all pairs of its blocks. Hot blocks are salted, and the lookup key includes the member.
+    all pairs of its blocks. Hot blocks and hot members are split.
     """
     members = pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member")).distinct()
     sizes = members.groupBy("_block").agg(F.count("*").alias("_size"))
-    sized = (
-        compare.select("first", "second")
-        .distinct()
-        .join(sizes.select(F.col("_block").alias("first"), F.col("_size").alias("n_first")), "first", "left")
-        .join(sizes.select(F.col("_block").alias("second"), F.col("_size").alias("n_second")), "second", "left")
-        .fillna(0, ["n_first", "n_second"])
-    )
+
+    def with_size(df: DataFrame, side: str) -> DataFrame:
+        named = sizes.select(F.col("_block").alias(side), F.col("_size").alias(f"n_{side}"))
+        return salted_join(df, named, [side], "left").fillna(0, [f"n_{side}"])
+
+    sized = with_size(with_size(compare.select("first", "second").distinct(), "first"), "second")
     first_smaller = F.col("n_first") <= F.col("n_second")
-    driven = sized.withColumn("_block", F.when(first_smaller, F.col("first")).otherwise(F.col("second"))).withColumn(
-        "_other", F.when(first_smaller, F.col("second")).otherwise(F.col("first"))
+    driven = sized.select(
+        F.when(first_smaller, F.col("first")).otherwise(F.col("second")).alias("_block"),
+        F.when(first_smaller, F.col("second")).otherwise(F.col("first")).alias("_other"),
+        "first",
+        "second",
     )
-    candidates = salted_join(members, driven.select("_block", "_other", "first", "second"), ["_block"], "inner")
+    candidates = salted_join(members, driven, ["_block"], "inner")
     looked_up = members.select(F.col("_block").alias("_other"), "_member")
     shared = (
-        candidates.join(looked_up, ["_other", "_member"], "left_semi")
+        salted_join(candidates, looked_up, ["_other", "_member"], "left_semi", ["first", "second"])
         .groupBy("first", "second")
         .agg(F.count("*").alias("n_shared"))
     )
@@ -120,9 +122,3 @@ def jaccard(shared: Column, total: Column, digits: int = 6) -> Column:
 
 def declared_pairs(df: DataFrame, first: str, second: str) -> DataFrame:
     return df.select(F.col(first).alias("first"), F.col(second).alias("second"))
-
-
-__all__: Sequence[str] = [
-    "block_algebra", "blocks_of_members", "bridge", "declared_pairs", "difference", "intersection",
-    "jaccard", "join_as_of", "members_at", "membership_counts", "overlap", "union", "with_interval",
-]

@@ -13,14 +13,15 @@ from cartulary.operators.evolve import generate_blocks, merge_members, migrate_f
 from cartulary.operators.facets import array_facets, count_differences, facet_counts
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
+from cartulary.operators.joins import salted_join
 from cartulary.operators.membership import (
     block_algebra,
     bridge,
     declared_pairs,
     jaccard,
-    join_as_of,
     members_at,
     membership_counts,
+    memberships_on_days,
     overlap,
     with_interval,
 )
@@ -217,23 +218,25 @@ def members_on_a_day(t: Tables) -> DataFrame:
 
 
 @query(
-    "d10_as_of_join",
+    "d10_memberships_on_days",
     """
-    SELECT o_orderkey, c_mktsegment
+    SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, c_mktsegment, count(*) AS n_facts
     FROM orders JOIN customer ON o_custkey = c_custkey
     WHERE CAST(o_orderdate AS DATE) BETWEEN make_date(CAST(1994 + c_nationkey % 5 AS INTEGER), 1, 1)
       AND CASE WHEN c_mktsegment = 'BUILDING' THEN DATE '9999-12-31'
                ELSE make_date(CAST(1997 + c_nationkey % 5 AS INTEGER), 12, 31) END
+    GROUP BY 1, 2, 3
     """,
 )
-def as_of_join(t: Tables) -> DataFrame:
+def memberships_of_order_days(t: Tables) -> DataFrame:
     start = (F.lit(1994) + F.col("c_nationkey") % 5).cast("string")
     end = F.when(F.col("c_mktsegment") != "BUILDING", (F.lit(1997) + F.col("c_nationkey") % 5).cast("string"))
     intervals = with_interval(
         t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", start.alias("joined"), end.alias("left"))
     ).select("o_custkey", "c_mktsegment", "valid_from", "valid_to")
-    facts = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    return join_as_of(facts, intervals, "o_custkey", "day").select("o_orderkey", "c_mktsegment")
+    facts = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    found = memberships_on_days(facts, intervals, "o_custkey", "day")
+    return found.select("o_custkey", "day", "c_mktsegment", "n_facts")
 
 
 @query(
@@ -318,7 +321,7 @@ def member_merge(t: Tables) -> DataFrame:
         ["c_nationkey"],
     ).select(F.col("o_orderkey").alias("l_orderkey"), F.col("c_nationkey").alias("block"))
     lines = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("member")).distinct()
-    additions = lines.join(orders, "l_orderkey").filter(F.col("block").isNotNull()).select("block", "member")
+    additions = salted_join(lines, orders, ["l_orderkey"], "inner").filter(F.col("block").isNotNull()).select("block", "member")
     return merge_members(existing, additions)
 
 

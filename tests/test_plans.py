@@ -71,7 +71,7 @@ def test_large_sides_are_not_broadcast(spark):
         # What is left are the lists of heavy keys, bounded by their limit.
         assert "SortMergeJoin" in text
         assert text.count("BroadcastHashJoin") == 2
-        assert text.count("TakeOrderedAndProject(limit=64") >= 1
+        assert text.count("TakeOrderedAndProject(limit=1024") >= 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
