@@ -41,11 +41,11 @@ def is_number(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+    return as_fields(value).isNotNull()
 
 
 def is_array(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+    return as_elements(value).isNotNull()
 
 
 def is_null(value: Column) -> Column:
@@ -128,17 +128,14 @@ def edit_fields(value: Column, rules: Mapping[str, Rule]) -> Column:
             edited = edited.when(name.isin(*names), rule(member))
         return edited.otherwise(member)
 
-    edited = F.to_variant_object(F.transform_values(as_fields(value), rewrite))
-    return F.when(is_object(value), edited).otherwise(value)
+    return F.coalesce(F.to_variant_object(F.transform_values(as_fields(value), rewrite)), value)
 
 
 def edit_elements(value: Column, rule: Rule) -> Column:
     """Rewrite every element of an array; a value that is not an array stays."""
-    edited = F.to_variant_object(F.transform(as_elements(value), rule))
-    return F.when(is_array(value), edited).otherwise(value)
+    return F.coalesce(F.to_variant_object(F.transform(as_elements(value), rule)), value)
 
 
 def keep_elements(value: Column, predicate: Rule) -> Column:
     """Keep the elements of an array that satisfy the predicate."""
-    kept = F.to_variant_object(F.filter(as_elements(value), predicate))
-    return F.when(is_array(value), kept).otherwise(value)
+    return F.coalesce(F.to_variant_object(F.filter(as_elements(value), predicate)), value)

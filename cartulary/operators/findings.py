@@ -46,14 +46,22 @@ def totals(checked: DataFrame, n_findings: Column) -> DataFrame:
     )
 
 
+# A word in the message, whether its case counts, and the class it stands for.
+FINDING_CLASSES = [
+    ("HTTP", True, "HTTP errors"),
+    ("wikidata", False, "Wikidata errors"),
+    ("URL", True, "URL format errors"),
+]
+OTHER_CLASS = "Other errors"
+REST_MESSAGE = "... and %d more errors"
+
+
 def finding_class(message: Column) -> Column:
     """Class by the wording of the message, the first hit counts."""
-    return (
-        F.when(F.contains(message, F.lit("HTTP")), "HTTP errors")
-        .when(F.contains(F.lower(message), F.lit("wikidata")), "Wikidata errors")
-        .when(F.contains(message, F.lit("URL")), "URL format errors")
-        .otherwise("Other errors")
-    )
+    found = F
+    for word, exact, name in FINDING_CLASSES:
+        found = found.when(F.contains(message if exact else F.lower(message), F.lit(word)), name)
+    return found.otherwise(OTHER_CLASS)
 
 
 def histogram(findings: DataFrame, message: str = "message") -> DataFrame:
@@ -87,7 +95,7 @@ def first_findings(findings: DataFrame, n: int = 100, root: str | None = None) -
         .select(
             F.lit(None).cast("string").alias("path"),
             F.lit(None).cast("bigint").alias("ordinal"),
-            F.format_string("... and %d more errors", "more").alias("message"),
+            F.format_string(REST_MESSAGE, "more").alias("message"),
         )
     )
     return top.unionByName(rest)

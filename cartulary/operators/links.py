@@ -26,8 +26,28 @@ FINDING_COLUMNS = ["entity_id", "path", "ordinal", "rule", "position", "message"
 ENTITY_HOST = "wikidata.org"
 HEAD_ONLY_HOST = "wikipedia.org"
 ENTITY_LINK_TYPE = "wikidata"
-FAULTS = {"format": "Invalid format (not a dictionary)", "url": "Missing URL", "type": "Missing type"}
-EMPTY_DOCUMENT = "File is empty or contains only null"
+UNKNOWN_ENTITY = "UNKNOWN"
+MESSAGES = {
+    "empty_document": "File is empty or contains only null",
+    "parse_error": "Error: %s",
+    "link_format": "Link %d: Invalid format (not a dictionary)",
+    "link_url": "Link %d: Missing URL",
+    "link_type": "Link %d: Missing type",
+    "link_entity_id": "Link %d (%s): Could not extract Q-number from URL: %s",
+    "url_check": "Link %d (%s): %s - %s",
+    "id_format": "wikidata_id has invalid format: %s",
+    "id_mismatch": "wikidata_id (%s) doesn't match any wikidata link Q-numbers: %s",
+    "id_missing": "Has wikidata link(s) but no wikidata_id field. Q-numbers found: %s",
+    "entity_not_found": "wikidata_id validation: Entity %s not found in Wikidata",
+    "entity_name_mismatch": "wikidata_id validation: Name mismatch: Wikidata label is '%s', entity name is '%s'",
+}
+PROBLEMS = {
+    "invalid": "Invalid URL format",
+    "timeout": "Request timeout",
+    "connection": "Connection error",
+    "status": "HTTP %d",
+}
+# Findings about the document as a whole come after those of its links.
 AFTER_LINKS = 1 << 40
 
 
@@ -93,7 +113,7 @@ def check_documents(parsed: DataFrame, doc: str = "doc", path: str = "path", err
     entity = truthy_text(field(value, "id"))
     checked = compute_once(
         parsed.select(F.col(path).alias("path"), value, F.col(error).alias("error")),
-        entity_id=F.when(entity == "", "UNKNOWN").otherwise(entity),
+        entity_id=F.when(entity == "", UNKNOWN_ENTITY).otherwise(entity),
         unreadable=unreadable_rule(value, F.col(error)),
         links=link_entries(field(value, "links")),
         wikidata_id=truthy_text(field(value, "wikidata_id")),
@@ -111,99 +131,61 @@ def id_fault(wikidata_id: Column, ids: Column) -> Column:
     )
 
 
-def _finding(ordinal: Column, rule: Column, position: Column, message: Column) -> Column:
+def _message(rule: str, *values: Column) -> Column:
+    return F.format_string(MESSAGES[rule], *values) if values else F.lit(MESSAGES[rule])
+
+
+def _finding(ordinal: Column, rule: str, position: Column, message: Column) -> Column:
     return F.struct(
         ordinal.cast("bigint").alias("ordinal"),
-        rule.alias("rule"),
+        F.lit(rule).alias("rule"),
         position.cast("int").alias("position"),
         message.alias("message"),
     ).cast(FINDING)
 
 
-def _link_label(link: Column) -> Column:
-    return F.concat(F.lit("Link "), link["position"], F.lit(" ("), link["type"], F.lit("): "))
+def _link_finding(link: Column) -> Column:
+    """The finding about the make-up of a link, NULL when there is none."""
+    place = link["position"]
+    found = F
+    for fault in ("format", "url", "type"):
+        rule = f"link_{fault}"
+        found = found.when(link["fault"] == fault, _finding(place * 2, rule, place, _message(rule, place)))
+    without_id = (link["type"] == ENTITY_LINK_TYPE) & link["qid"].isNull()
+    message = _message("link_entity_id", place, link["type"], link["url"])
+    return found.when(without_id, _finding(place * 2, "link_entity_id", place, message))
 
 
-def local_findings(check_urls: bool = True) -> Column:
-    """array<FINDING> of a checked row: unreadable document, or link faults, ids, and
-    malformed URLs if asked."""
-    links, wikidata_id, ids = F.col("links"), F.col("wikidata_id"), F.col("ids")
-    nothing = F.array().cast(f"array<{FINDING}>")
-    unread = F.col("unreadable")
-    reason = F.when(unread == "parse_error", F.concat(F.lit("Error: "), F.col("error"))).otherwise(
-        F.lit(EMPTY_DOCUMENT)
-    )
-    of_document = F.array(_finding(F.lit(0), unread, F.lit(None).cast("int"), reason))
-
-    def of_link(link: Column) -> Column:
-        place = link["position"]
-        text = F.lit(None).cast("string")
-        for fault, wording in FAULTS.items():
-            text = F.when(link["fault"] == fault, F.lit(wording)).otherwise(text)
-        structural = F.when(
-            link["fault"].isNotNull(),
-            F.array(
-                _finding(
-                    place * 2,
-                    F.concat(F.lit("link_"), link["fault"]),
-                    place,
-                    F.concat(F.lit("Link "), place, F.lit(": "), text),
-                )
-            ),
-        )
-        no_id = F.when(
-            link["fault"].isNull() & (link["type"] == ENTITY_LINK_TYPE) & link["qid"].isNull(),
-            F.array(
-                _finding(
-                    place * 2,
-                    F.lit("link_entity_id"),
-                    place,
-                    F.concat(
-                        _link_label(link), F.lit("Could not extract Q-number from URL: "), link["url"]
-                    ),
-                )
-            ),
-        )
-        found = F.coalesce(structural, no_id, nothing)
-        if not check_urls:
-            return found
-        malformed = F.when(
-            link["route"] == "invalid",
-            F.array(
-                _finding(
-                    place * 2 + 1,
-                    F.lit("url_format"),
-                    place,
-                    F.concat(_link_label(link), F.lit("Invalid URL format - "), link["url"]),
-                )
-            ),
-        )
-        return F.concat(found, F.coalesce(malformed, nothing))
+def _url_finding(link: Column) -> Column:
+    place = link["position"]
+    message = _message("url_check", place, link["type"], F.lit(PROBLEMS["invalid"]), link["url"])
+    return F.when(link["route"] == "invalid", _finding(place * 2 + 1, "url_format", place, message))
 
-    fault = id_fault(wikidata_id, ids)
-    message = (
-        F.when(fault == "id_format", F.concat(F.lit("wikidata_id has invalid format: "), wikidata_id))
+
+def _document_finding() -> Column:
+    """The finding about an unreadable document or its entity id, NULL when there is none."""
+    nowhere = F.lit(None).cast("int")
+    unread, fault = F.col("unreadable"), id_fault(F.col("wikidata_id"), F.col("ids"))
+    listed = quoted_list(F.col("ids"))
+    start, end = F.lit(0), F.lit(AFTER_LINKS)
+    return (
+        F.when(unread == "parse_error", _finding(start, "parse_error", nowhere, _message("parse_error", F.col("error"))))
+        .when(unread == "empty_document", _finding(start, "empty_document", nowhere, _message("empty_document")))
+        .when(fault == "id_format", _finding(end, "id_format", nowhere, _message("id_format", F.col("wikidata_id"))))
         .when(
             fault == "id_mismatch",
-            F.concat(
-                F.lit("wikidata_id ("),
-                wikidata_id,
-                F.lit(") doesn't match any wikidata link Q-numbers: "),
-                quoted_list(ids),
-            ),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("Has wikidata link(s) but no wikidata_id field. Q-numbers found: "), quoted_list(ids)
-            )
+            _finding(end, "id_mismatch", nowhere, _message("id_mismatch", F.col("wikidata_id"), listed)),
         )
+        .when(fault == "id_missing", _finding(end + 2, "id_missing", nowhere, _message("id_missing", listed)))
     )
-    last = F.when(fault == "id_missing", F.lit(AFTER_LINKS + 2)).otherwise(F.lit(AFTER_LINKS))
-    of_id = F.when(
-        fault.isNotNull(), F.array(_finding(last, fault, F.lit(None).cast("int"), message))
-    ).otherwise(nothing)
-    readable = F.concat(F.flatten(F.transform(links, of_link)), of_id)
-    return F.when(unread.isNotNull(), of_document).otherwise(readable)
+
+
+def local_findings(check_urls: bool = True) -> Column:
+    """array<FINDING> of a checked row: unreadable document, or link faults, ids, and
+    malformed URLs if asked."""
+    tests = [_link_finding, _url_finding] if check_urls else [_link_finding]
+    of_links = F.flatten(F.transform("links", lambda link: F.array(*[test(link) for test in tests])))
+    return F.array_compact(F.concat(of_links, F.array(_document_finding())))
 
 
 def explode_findings(checked: DataFrame, check_urls: bool = True) -> DataFrame:
@@ -232,11 +214,11 @@ def probe_outcomes(links: DataFrame, probes: DataFrame) -> DataFrame:
     good = (status == 200) | ((status >= 300) & (status < 400))
     worded = F.col("route") == "head_then_get"
     problem = (
-        F.when(F.col("route") == "invalid", F.lit("Invalid URL format"))
-        .when(fetched & failed & worded & (F.col("_shot.error") == "timeout"), F.lit("Request timeout"))
-        .when(fetched & failed & worded & (F.col("_shot.error") == "connection"), F.lit("Connection error"))
+        F.when(F.col("route") == "invalid", F.lit(PROBLEMS["invalid"]))
+        .when(fetched & failed & worded & (F.col("_shot.error") == "timeout"), F.lit(PROBLEMS["timeout"]))
+        .when(fetched & failed & worded & (F.col("_shot.error") == "connection"), F.lit(PROBLEMS["connection"]))
         .when(fetched & failed, F.col("_shot.error"))
-        .when(fetched & ~good, F.concat(F.lit("HTTP "), status))
+        .when(fetched & ~good, F.format_string(PROBLEMS["status"], status))
     )
     return (
         joined.withColumn("_shot", shot)
@@ -267,7 +249,7 @@ def probe_findings(checked: DataFrame, probes: DataFrame) -> DataFrame:
         (F.col("position") * 2 + 1).cast("bigint").alias("ordinal"),
         F.lit("url_probe").alias("rule"),
         "position",
-        F.format_string("Link %d (%s): %s - %s", "position", "type", "problem", "url").alias("message"),
+        F.format_string(MESSAGES["url_check"], "position", "type", "problem", "url").alias("message"),
     )
 
 
@@ -294,13 +276,8 @@ def entity_findings(checked: DataFrame, labels: DataFrame) -> DataFrame:
         "entity_id", "path", F.col("wikidata_id").alias("qid"), "name"
     )
     failed = entity_outcomes(asked, labels).filter(F.col("verdict") != "ok")
-    message = F.when(
-        F.col("verdict") == "not_found",
-        F.format_string("wikidata_id validation: Entity %s not found in Wikidata", "qid"),
-    ).otherwise(
-        F.format_string(
-            "wikidata_id validation: Name mismatch: Wikidata label is '%s', entity name is '%s'", "label", "name"
-        )
+    message = F.when(F.col("verdict") == "not_found", _message("entity_not_found", F.col("qid"))).otherwise(
+        _message("entity_name_mismatch", F.col("label"), F.col("name"))
     )
     return failed.select(
         "entity_id",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartulary.functions.dates import first_day, last_day
 from cartulary.operators.joins import salted_join
+from cartulary.session import enable_checkpoints
 
 
 def bridge(df: DataFrame, block: str, members: str) -> DataFrame:
@@ -85,16 +86,23 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
     Adds ``n_first, n_second, n_shared, n_union``. The pairs to compare are data, such as
     the edges of a hierarchy: the members of the smaller block of each pair are looked up
     in the other, so the work is the sum of the smaller sizes and no member fans out to
-    all pairs of its blocks. Hot blocks and hot members are split.
+    all pairs of its blocks. Hot blocks and hot members are split. Members and sizes are
+    read several times and therefore written to the checkpoint folder.
     """
-    members = pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member")).distinct()
+    enable_checkpoints(pairs.sparkSession)
+    members = (
+        pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member"))
+        .filter(F.col("_block").isNotNull() & F.col("_member").isNotNull())
+        .distinct()
+        .checkpoint()
+    )
     sizes = members.groupBy("_block").agg(F.count("*").alias("_size"))
 
     def with_size(df: DataFrame, side: str) -> DataFrame:
         named = sizes.select(F.col("_block").alias(side), F.col("_size").alias(f"n_{side}"))
         return salted_join(df, named, [side], "left").fillna(0, [f"n_{side}"])
 
-    sized = with_size(with_size(compare.select("first", "second").distinct(), "first"), "second")
+    sized = with_size(with_size(compare.select("first", "second").distinct(), "first"), "second").checkpoint()
     first_smaller = F.col("n_first") <= F.col("n_second")
     driven = sized.select(
         F.when(first_smaller, F.col("first")).otherwise(F.col("second")).alias("_block"),
