@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cartulary.operators.conform import conform, violations
 from cartulary.operators.normalize import normalise, rules_for
 from cartulary.schemas import block_schema, block_type_schema, country_schema
-from cartulary.sinks.publish import FORMATS, publish, row_counts
+from cartulary.sinks.publish import FORMATS, parse_formats, publish, published_counts
 from cartulary.sources.documents import (
     Parser,
     drop_empty,
@@ -62,7 +62,12 @@ def build(
     mode: str = "permissive",
     database: str | None = None,
 ) -> DataFrame:
-    """Build and publish the three tables; returns their row counts."""
+    """Build and publish the three tables; returns their row counts.
+
+    Rows are counted in what was written, from the Parquet footers where there are any,
+    so that nothing is built again for the sake of the counts.
+    """
+    asked = parse_formats(formats)
     types_file = scan_documents(spark, block_types, "*", parser)
     items = list_items(good_documents(types_file), "doc", ["path", "error"]).withColumnRenamed("item", "doc")
     built = [
@@ -73,8 +78,9 @@ def build(
     publish(
         {d.name: d.typed for d in built},
         output,
-        formats,
+        asked,
         database,
         documents={d.name: (d.documents, "doc") for d in built},
     )
-    return row_counts({d.name: d.typed for d in built})
+    cheapest = next(f for f in ("parquet", "table", "jsonl") if f in asked)
+    return published_counts(spark, [d.name for d in built], output, [cheapest]).drop("format")

@@ -15,6 +15,7 @@ from cartulary.operators.findings import (
     verdicts,
 )
 from cartulary.operators.links import check_documents, entity_findings, explode_findings, probe_findings
+from cartulary.session import enable_checkpoints
 
 
 @dataclass
@@ -41,9 +42,13 @@ def validate(
     """Validate parsed documents (``path, doc, error``).
 
     Without ``probes`` and ``labels`` those checks are off and nothing shuffles: findings
-    and verdicts are row-local.
+    and verdicts are row-local. With them the checked rows, which are read several times,
+    are written to the checkpoint folder, so documents are parsed once.
     """
     checked = check_documents(parsed)
+    if probes is not None or labels is not None:
+        enable_checkpoints(parsed.sparkSession)
+        checked = checked.checkpoint()
     joined = []
     if probes is not None:
         joined.append(probe_findings(checked, probes))
