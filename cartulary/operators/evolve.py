@@ -40,14 +40,20 @@ def generate_blocks(
         .withColumn("n_parts", parts)
         .withColumn("part", F.pmod(F.xxhash64(member), F.col("n_parts")).cast("int") + 1)
     )
-    includes = F.array_sort(F.collect_list(F.struct(F.col(member).alias("id"), *fields)))
+    includes = F.sort_array(F.collect_list(F.struct(F.col(member).alias("id"), *fields)))
     return (
         placed.groupBy(F.col(attribute).alias("block"), "part", "n_parts", "membership_count")
         .agg(includes.alias("includes"))
     )
 
 
-def migrate_field(df: DataFrame, doc: str, old: str = "translations", new: str = "other_names", rename: tuple[str, str] = ("lang", "id")) -> DataFrame:
+def migrate_field(
+    df: DataFrame,
+    doc: str,
+    old: str = "translations",
+    new: str = "other_names",
+    rename: tuple[str, str] = ("lang", "id"),
+) -> DataFrame:
     """Move a list of objects to another field, one of its keys renamed.
 
     Documents that have the new field already keep it. The old field is dropped. Other

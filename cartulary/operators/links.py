@@ -15,7 +15,21 @@ from pyspark.sql import functions as F
 
 from cartulary.functions.plan import compute_once
 from cartulary.functions.text import entity_id, quoted_list, similar_names, valid_entity_id, well_formed_url
-from cartulary.functions.variants import as_elements, field, is_falsy, is_object, truthy_text
+from cartulary.functions.variants import (
+    as_elements,
+    as_fields,
+    as_text,
+    as_variant,
+    field,
+    is_bool,
+    is_falsy,
+    is_null,
+    is_number,
+    is_object,
+    is_string,
+    kind,
+    truthy_text,
+)
 from cartulary.operators.joins import salted_join
 
 LINK = "struct<position:int,url:string,type:string,fault:string,qid:string,route:string>"
@@ -41,6 +55,20 @@ MESSAGES = {
     "entity_not_found": "wikidata_id validation: Entity %s not found in Wikidata",
     "entity_name_mismatch": "wikidata_id validation: Name mismatch: Wikidata label is '%s', entity name is '%s'",
 }
+# What stops a check half-way, and how values are called there.
+STOPPED = {
+    "not_an_object": "'%s' object has no attribute 'get'",
+    "links_not_a_list": "'%s' object is not iterable",
+}
+TYPE_NAMES = {
+    "ARRAY": "list",
+    "STRING": "str",
+    "BIGINT": "int",
+    "DECIMAL": "float",
+    "DOUBLE": "float",
+    "BOOLEAN": "bool",
+    "VOID": "NoneType",
+}
 PROBLEMS = {
     "invalid": "Invalid URL format",
     "timeout": "Request timeout",
@@ -86,7 +114,11 @@ def link_entries(links: Column) -> Column:
             F.when(sound, check_route(url)).alias("route"),
         ).cast(LINK)
 
-    entries = F.transform(as_elements(links), entry)
+    # Of an object the keys count as entries, of a text the characters; none is a link.
+    keys = F.map_keys(as_fields(links))
+    characters = F.when(is_string(links), F.filter(F.split(as_text(links), ""), lambda c: c != ""))
+    others = F.transform(F.coalesce(keys, characters), as_variant)
+    entries = F.transform(F.coalesce(as_elements(links), others), entry)
     return F.coalesce(entries, F.array().cast(f"array<{LINK}>"))
 
 
@@ -103,8 +135,25 @@ def ids_in_links(links: Column) -> Column:
 
 
 def unreadable_rule(doc: Column, error: Column) -> Column:
-    """``parse_error`` or ``empty_document``; NULL when there is a document."""
-    return F.when(error.isNotNull(), "parse_error").when(is_falsy(doc), "empty_document")
+    """Why a document cannot be checked; NULL when it can.
+
+    ``parse_error``, ``empty_document``, ``not_an_object`` or ``links_not_a_list``. Such a
+    document has this one finding.
+    """
+    links = field(doc, "links")
+    return (
+        F.when(error.isNotNull(), "parse_error")
+        .when(is_falsy(doc), "empty_document")
+        .when(~is_object(doc), "not_an_object")
+        .when(is_null(links) | is_number(links) | is_bool(links), "links_not_a_list")
+    )
+
+
+def _type_name(value: Column) -> Column:
+    found = F
+    for name, wording in TYPE_NAMES.items():
+        found = found.when(kind(value) == name, wording)
+    return found.otherwise(F.lower(kind(value)))
 
 
 def check_documents(parsed: DataFrame, doc: str = "doc", path: str = "path", error: str = "error") -> DataFrame:
@@ -112,14 +161,28 @@ def check_documents(parsed: DataFrame, doc: str = "doc", path: str = "path", err
     value = F.col(doc)
     entity = truthy_text(field(value, "id"))
     checked = compute_once(
-        parsed.select(F.col(path).alias("path"), value, F.col(error).alias("error")),
+        parsed.select(F.col(path).alias("path"), value, F.col(error).alias("_error")),
         entity_id=F.when(entity == "", UNKNOWN_ENTITY).otherwise(entity),
-        unreadable=unreadable_rule(value, F.col(error)),
+        unreadable=unreadable_rule(value, F.col("_error")),
         links=link_entries(field(value, "links")),
         wikidata_id=truthy_text(field(value, "wikidata_id")),
         name=truthy_text(field(value, "name")),
     )
-    return compute_once(checked.drop(doc), ids=ids_in_links(F.col("links")))
+    reason = (
+        F.when(F.col("unreadable") == "parse_error", F.col("_error"))
+        .when(
+            F.col("unreadable") == "not_an_object",
+            F.format_string(STOPPED["not_an_object"], _type_name(value)),
+        )
+        .when(
+            F.col("unreadable") == "links_not_a_list",
+            F.format_string(STOPPED["links_not_a_list"], _type_name(field(value, "links"))),
+        )
+    )
+    once = compute_once(checked, ids=ids_in_links(F.col("links")), error=reason)
+    return once.select(
+        "path", "entity_id", "unreadable", "error", "links", "ids", "wikidata_id", "name"
+    )
 
 
 def id_fault(wikidata_id: Column, ids: Column) -> Column:
@@ -168,9 +231,13 @@ def _document_finding() -> Column:
     unread, fault = F.col("unreadable"), id_fault(F.col("wikidata_id"), F.col("ids"))
     listed = quoted_list(F.col("ids"))
     start, end = F.lit(0), F.lit(AFTER_LINKS)
+    stopped = F
+    for rule in ("parse_error", *STOPPED):
+        stopped = stopped.when(
+            unread == rule, _finding(start, rule, nowhere, _message("parse_error", F.col("error")))
+        )
     return (
-        F.when(unread == "parse_error", _finding(start, "parse_error", nowhere, _message("parse_error", F.col("error"))))
-        .when(unread == "empty_document", _finding(start, "empty_document", nowhere, _message("empty_document")))
+        stopped.when(unread == "empty_document", _finding(start, "empty_document", nowhere, _message("empty_document")))
         .when(fault == "id_format", _finding(end, "id_format", nowhere, _message("id_format", F.col("wikidata_id"))))
         .when(
             fault == "id_mismatch",
@@ -185,6 +252,7 @@ def local_findings(check_urls: bool = True) -> Column:
     malformed URLs if asked."""
     tests = [_link_finding, _url_finding] if check_urls else [_link_finding]
     of_links = F.flatten(F.transform("links", lambda link: F.array(*[test(link) for test in tests])))
+    of_links = F.when(F.col("unreadable").isNull(), of_links).otherwise(F.array().cast(f"array<{FINDING}>"))
     return F.array_compact(F.concat(of_links, F.array(_document_finding())))
 
 
@@ -272,7 +340,8 @@ def entity_outcomes(entities: DataFrame, labels: DataFrame) -> DataFrame:
 
 def entity_findings(checked: DataFrame, labels: DataFrame) -> DataFrame:
     """Findings of the entity check, for documents with a name and a well-formed id."""
-    asked = checked.filter(valid_entity_id(F.col("wikidata_id")) & (F.col("name") != "")).select(
+    sound = F.col("unreadable").isNull() & valid_entity_id(F.col("wikidata_id"))
+    asked = checked.filter(sound & (F.col("name") != "")).select(
         "entity_id", "path", F.col("wikidata_id").alias("qid"), "name"
     )
     failed = entity_outcomes(asked, labels).filter(F.col("verdict") != "ok")

@@ -24,6 +24,12 @@ DOCS = [
     "{}",
     "null",
     '{"k": 8',
+    "[1]",
+    '"text"',
+    '{"id":"NULLS","links":null,"wikidata_id":"P1"}',
+    '{"id":"NUMBER","links":5}',
+    '{"id":"KEYS","links":{"url":"http://a.example/"}}',
+    '{"id":"CHARS","links":"ab"}',
 ]
 EXPECTED = {
     0: [],
@@ -41,6 +47,12 @@ EXPECTED = {
     12: ["File is empty or contains only null"],
     13: ["File is empty or contains only null"],
     14: ["Error: malformed document"],
+    15: ["Error: 'list' object has no attribute 'get'"],
+    16: ["Error: 'str' object has no attribute 'get'"],
+    17: ["Error: 'NoneType' object is not iterable"],
+    18: ["Error: 'int' object is not iterable"],
+    19: ["Link 1: Invalid format (not a dictionary)"],
+    20: ["Link 1: Invalid format (not a dictionary)", "Link 2: Invalid format (not a dictionary)"],
 }
 
 
@@ -58,10 +70,10 @@ def test_offline_findings(documents):
     verdicts = {r.path: (r.n_findings, r.valid) for r in checked.verdicts.collect()}
     assert verdicts == {f"/data/{i}.json": (len(m), not m) for i, m in EXPECTED.items()}
     totals = checked.totals().first()
-    assert (totals.n_valid, totals.n_invalid, totals.n_findings) == (2, 13, 13)
+    assert (totals.n_valid, totals.n_invalid, totals.n_findings) == (2, 19, 20)
     assert totals.n_valid + totals.n_invalid == len(DOCS)
     classes = {r.finding_class: r.n for r in checked.histogram().collect()}
-    assert classes == {"Other errors": 6, "URL format errors": 3, "Wikidata errors": 4}
+    assert classes == {"Other errors": 13, "URL format errors": 3, "Wikidata errors": 4}
 
 
 def test_urls_are_not_checked_when_switched_off(documents):
@@ -71,7 +83,7 @@ def test_urls_are_not_checked_when_switched_off(documents):
 def test_report_ends_with_the_rest(documents):
     rows = validate(documents(*DOCS)).report(3, "/data").collect()
     assert [r.path for r in rows] == ["1.json", "11.json", "12.json", None]
-    assert rows[-1].message == "... and 10 more errors"
+    assert rows[-1].message == "... and 17 more errors"
     assert validate(documents(*DOCS[:2])).report(3, "/data").count() == 1
 
 
