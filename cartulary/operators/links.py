@@ -44,6 +44,7 @@ UNKNOWN_ENTITY = "UNKNOWN"
 MESSAGES = {
     "empty_document": "File is empty or contains only null",
     "parse_error": "Error: %s",
+    "yaml_error": "YAML error: %s",
     "link_format": "Link %d: Invalid format (not a dictionary)",
     "link_url": "Link %d: Missing URL",
     "link_type": "Link %d: Missing type",
@@ -231,11 +232,12 @@ def _document_finding() -> Column:
     unread, fault = F.col("unreadable"), id_fault(F.col("wikidata_id"), F.col("ids"))
     listed = quoted_list(F.col("ids"))
     start, end = F.lit(0), F.lit(AFTER_LINKS)
+    # A YAML parser's own wording already has its prefix.
+    worded = F.startswith("error", F.lit(MESSAGES["yaml_error"].removesuffix("%s")))
+    reason = F.when(worded, F.col("error")).otherwise(_message("parse_error", F.col("error")))
     stopped = F
     for rule in ("parse_error", *STOPPED):
-        stopped = stopped.when(
-            unread == rule, _finding(start, rule, nowhere, _message("parse_error", F.col("error")))
-        )
+        stopped = stopped.when(unread == rule, _finding(start, rule, nowhere, reason))
     return (
         stopped.when(unread == "empty_document", _finding(start, "empty_document", nowhere, _message("empty_document")))
         .when(fault == "id_format", _finding(end, "id_format", nowhere, _message("id_format", F.col("wikidata_id"))))

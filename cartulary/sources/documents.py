@@ -26,11 +26,18 @@ def parse_documents(df: DataFrame, text: str, doc: str = "doc", error: str = "er
     return parsed.withColumn(error, F.when(broken, F.lit("malformed document")))
 
 
+class MalformedDocument(ValueError):
+    """Raised by a parser that words the problem itself."""
+
+
 def yaml_parser(text: str) -> object:
     """YAML 1.1 with safe tags. Needs PyYAML on the executors."""
     import yaml
 
-    return yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
+    try:
+        return yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
+    except yaml.YAMLError as problem:
+        raise MalformedDocument(f"YAML error: {problem}") from problem
 
 
 def _with_parser(files: DataFrame, parser: Parser) -> DataFrame:
@@ -42,7 +49,7 @@ def _with_parser(files: DataFrame, parser: Parser) -> DataFrame:
                     value = parser(bytes(content).decode("utf-8"))
                     rows.append((path, json.dumps(value, ensure_ascii=False, default=str), None))
                 except Exception as problem:  # any parser failure belongs to this one file
-                    rows.append((path, None, f"{type(problem).__name__}: {problem}"))
+                    rows.append((path, None, str(problem) or type(problem).__name__))
             yield pd.DataFrame(rows, columns=["path", "text", "error"])
 
     parsed = files.mapInPandas(parse, "path string, text string, error string")

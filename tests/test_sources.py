@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cartulary.plans.validate import validate
 from cartulary.sources.documents import (
     drop_empty,
     good_documents,
@@ -40,7 +41,10 @@ def test_yaml_documents(spark, folder):
     parsed = scan_documents(spark, str(folder), "*.yaml", yaml_parser)
     assert parsed.count() == 4
     bad = quarantined(parsed).collect()
-    assert len(bad) == 1 and bad[0].path.endswith("bank/B.yaml") and "Error" in bad[0].error
+    assert len(bad) == 1 and bad[0].path.endswith("bank/B.yaml") and bad[0].error.startswith("YAML error: ")
+    findings = validate(parsed).findings.filter("rule in ('parse_error', 'empty_document')").orderBy("path").collect()
+    assert [f.path.rsplit("/", 1)[1] for f in findings] == ["B.yaml", "C.yaml"]
+    assert findings[0].message == bad[0].error
     kept = drop_empty(good_documents(parsed)).select(F.to_json("doc")).collect()
     docs = sorted((json.loads(r[0]) for r in kept), key=lambda d: d["id"])
     assert docs == [
