@@ -1,4 +1,4 @@
-"""Equi-join that holds when a few keys carry most of the rows."""
+"""Equi-joins that hold when a few keys carry most of the rows."""
 
 from __future__ import annotations
 
@@ -18,6 +18,27 @@ MOST_PARTS = 10_000
 MOST_KEYS = 1_024
 
 
+# A lookup side of up to this many rows may be broadcast.
+BROADCAST_ROWS = 20_000
+
+
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether the frame has at most ``BROADCAST_ROWS`` rows, found out by reading that many.
+
+    Runs a job that stops as soon as the answer is known.
+    """
+    rows = BROADCAST_ROWS if rows is None else rows
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join to a dimension: broadcast if it proves small, so that facts stay where they
+    are, and with heavy keys split if not."""
+    if is_small(lookup):
+        return facts.join(F.broadcast(lookup), list(on), how)
+    return salted_join(facts, lookup, on, how)
+
+
 def heavy_keys(facts: DataFrame, on: Sequence[str], part_rows: int, most: int) -> DataFrame:
     """The heaviest keys, at most ``most``, with the number of ``_parts`` to spread each over."""
     counted = facts.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > part_rows)

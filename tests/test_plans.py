@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from cartulary.operators import joins
 from cartulary.operators.conform import conform
 from cartulary.plans.validate import validate
 from cartulary.schemas import block_schema
@@ -77,6 +78,13 @@ def test_large_sides_are_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_facts_stay_in_place_beside_a_small_dimension(spark, monkeypatch):
+    text = plan(entry.queries()["d02_code_crosswalk"](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "_part" not in text
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    assert "_part" in plan(entry.queries()["d02_code_crosswalk"](spark, SF_DIR))
+
+
 def test_duplicates_need_no_window(spark):
     for name in ("d17_duplicate_identities", "d17_keep_one"):
         assert "Window" not in plan(entry.queries()[name](spark, SF_DIR))

@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartulary.functions.dates import first_day, is_partial_date, last_day
+from cartulary.operators import joins
 from cartulary.operators.enrich import crosswalk, dangling, enrich, resolve_codes
 from cartulary.operators.evolve import generate_blocks, merge_members, migrate_field
 from cartulary.operators.facets import array_facets, count_differences
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
-from cartulary.operators.joins import heavy_keys, salted_join
+from cartulary.operators.joins import heavy_keys, is_small, salted_join
 from cartulary.operators.membership import (
     block_algebra,
     bridge,
@@ -57,12 +58,19 @@ def test_heavy_keys_get_parts_of_even_size(spark, skewed):
     assert heavy_keys(facts, ["k"], part_rows=1, most=3).count() == 3
 
 
+def test_size_check(spark):
+    df = spark.range(100)
+    assert is_small(df, 100) and not is_small(df, 99) and is_small(df)
+
+
 def test_salted_join_refuses_types_that_keep_lookup_rows(skewed):
     with pytest.raises(ValueError):
         salted_join(*skewed, ["k"], "full")
 
 
-def test_enrich_keeps_unmatched(spark, skewed):
+@pytest.mark.parametrize("limit", [10_000, 5])
+def test_enrich_keeps_unmatched(spark, skewed, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
     facts, lookup = skewed
     rows = enrich(facts, lookup.dropDuplicates(["k"]), ["k"], ["name"])
     assert rows.count() == facts.count()
