@@ -6,9 +6,10 @@ import pytest
 from compare import bags, connect
 
 import __spark_entry__ as entry
+from cartulary.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
