@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartulary.llm import sql
+from cartulary.llm.line_dedup import op4_line_dedup
+from cartulary.llm.minhash_dedup import op2_minhash_dedup
 from cartulary.llm.substring_dedup import op1_substring_dedup
 from cartulary.llm.suffix_dedup import op3_suffix_dedup
 
@@ -14,7 +16,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_suffix_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_minhash_dedup, op3_suffix_dedup, op4_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
