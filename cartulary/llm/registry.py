@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartulary.llm import sql
+from cartulary.llm.decontamination import op7_decontamination
 from cartulary.llm.line_dedup import op4_line_dedup
 from cartulary.llm.minhash_dedup import op2_minhash_dedup
+from cartulary.llm.packing import op10_packing
+from cartulary.llm.quality import op8_quality_rules
 from cartulary.llm.substring_dedup import op1_substring_dedup
 from cartulary.llm.suffix_dedup import op3_suffix_dedup
 
@@ -16,7 +19,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_minhash_dedup, op3_suffix_dedup, op4_line_dedup)}
+    found = (
+        op1_substring_dedup,
+        op2_minhash_dedup,
+        op3_suffix_dedup,
+        op4_line_dedup,
+        op7_decontamination,
+        op8_quality_rules,
+        op10_packing,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
