@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartulary.llm import sql
+from cartulary.llm.chat_format import op5_chat_format
+from cartulary.llm.context_tree import op6_context_tree_scores
 from cartulary.llm.decontamination import op7_decontamination
 from cartulary.llm.line_dedup import op4_line_dedup
 from cartulary.llm.minhash_dedup import op2_minhash_dedup
 from cartulary.llm.packing import op10_packing
 from cartulary.llm.quality import op8_quality_rules
+from cartulary.llm.secret_scan import op9_secret_scan
 from cartulary.llm.substring_dedup import op1_substring_dedup
 from cartulary.llm.suffix_dedup import op3_suffix_dedup
 
@@ -24,8 +27,11 @@ def queries() -> dict[str, QueryFn]:
         op2_minhash_dedup,
         op3_suffix_dedup,
         op4_line_dedup,
+        op5_chat_format,
+        op6_context_tree_scores,
         op7_decontamination,
         op8_quality_rules,
+        op9_secret_scan,
         op10_packing,
     )
     return {f.__name__: f for f in found}

@@ -8,23 +8,24 @@ ORACLE["op1_substring_dedup"] = r"""
 WITH doc AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
     FROM documents
-), starts AS (
-    SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i FROM doc
-), marked AS (
-    SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY array_to_string(words[i:i + 12], ' ')) AS hit FROM starts
-), gone AS (
-    SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM marked WHERE hit
 ), flat AS (
-    SELECT doc_id, unnest(words) AS w, unnest(generate_series(1, len(words))) AS i FROM doc
-), kept AS (
-    SELECT f.doc_id, count(*) AS n, string_agg(f.w, ' ' ORDER BY f.i) AS text
-    FROM flat f ANTI JOIN gone g ON g.doc_id = f.doc_id AND g.i = f.i GROUP BY f.doc_id
+    SELECT doc_id, len(words) AS n, unnest(words) AS w, unnest(generate_series(1, len(words))) AS i FROM doc
+), wins AS (
+    SELECT *, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win FROM flat
+), marked AS (
+    SELECT *, i + 12 <= n AND doc_id > min(doc_id) OVER (PARTITION BY win, i + 12 <= n) AS hit FROM wins
+), cut AS (
+    SELECT *, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM marked
 ), runs AS (
-    SELECT g.doc_id, count(*) AS n FROM gone g ANTI JOIN gone p ON p.doc_id = g.doc_id AND p.i = g.i - 1 GROUP BY g.doc_id
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM cut
+), kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE gone) AS n_gone, count(*) FILTER (WHERE opens) AS n_runs,
+        string_agg(w, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
+    FROM runs GROUP BY doc_id
 )
-SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(k.n, 0))::BIGINT AS n_removed,
-    sha256(coalesce(k.text, '')) AS kept_sha256, coalesce(r.n, 0)::BIGINT AS n_spans
-FROM doc d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN runs r ON r.doc_id = d.doc_id
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(k.n_gone, 0)::BIGINT AS n_removed,
+    sha256(coalesce(k.text, '')) AS kept_sha256, coalesce(k.n_runs, 0)::BIGINT AS n_spans
+FROM doc d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 _BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
