@@ -162,7 +162,7 @@ def log_gamma(x: Column) -> Column:
     y, product = x + 8, x
     for i in range(1, 8):
         product = product * (x + i)
-    return (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y) - F.log(product)
+    return (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y) - F.log(product)
 
 
 def log_kt(zeros: Column, ones: Column) -> Column:
