@@ -9,11 +9,13 @@ none, the rank bound doubles. Two documents agree in a coordinate with a probabi
 their weighted Jaccard similarity.
 
 Documents with equal words are one node. Nodes that agree in a band of coordinates are
-candidates. In each bucket they are compared to one pivot, exactly, on the texts; after two
-rounds with different pivots, what a bucket still holds of different components is compared
-pair by pair, except where distances to the pivot rule a link out (the distance is a metric).
-Copies and near copies in thousands cost a comparison each, and every candidate link between
-components is decided.
+candidates. In each bucket they are compared to one pivot, exactly, on the texts: the node that
+shares buckets with the most others, which for many near copies of one text is the text
+itself. Further rounds take other pivots for what is still in different components, as long
+as that is much and a round joins some of it. In the end, what a bucket still holds of
+different components is compared pair by pair, except where distances to the first pivot rule
+a link out (the distance is a metric). Copies and near copies in thousands cost a comparison
+each, and every candidate link between components is decided.
 
 Results for odd input: documents of one to four words are one shingle; those without words
 (null, empty, blank) are classes of their own; rows without an id and repeated rows take part
@@ -37,7 +39,8 @@ from cartulary.llm.shared import NO_ID, keyed, partitions, read, store
 SHINGLE = 5
 SIMILARITY = 0.8
 COORDINATES, BANDS = 64, 16
-PIVOT_ROUNDS = 2
+# Pairs left per member of a bucket, above which another round of pivots is worth its jobs.
+MANY_PAIRS = 2
 _STEP = U64(0xD1342543DE82EF95)
 
 
@@ -153,33 +156,50 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a != held:
                 held, bag = a, multiset(text)
             out.append(similarity(bag, multiset(other)))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
+        names = ["a", "b", "component_a", "component_b"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(out, pa.float64())], names=[*names, "similarity"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, similarity`` of each pair of nodes."""
+    """``a, b, component_a, component_b, similarity`` of each pair of nodes."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_compare, "a long, b long, similarity double")
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "component_a", "component_b", "text_a", "text_b")
+    return joined.mapInArrow(_compare, "a long, b long, component_a long, component_b long, similarity double")
 
 
-def _pairs_of_pivot(members: DataFrame, turn: int) -> DataFrame:
+def _pivots(members: DataFrame, turn: int) -> DataFrame:
+    """``band, key, pivot, pivot_component``: the most central member of each bucket, by turns of the others."""
+    last = F.struct((F.col("used") > 0).cast("int"), -F.col("centrality"), F.xxhash64("node", F.lit(turn)), "node", "component")
+    found = members.groupBy("band", "key").agg(F.min(last).alias("least"))
+    return found.select("band", "key", F.col("least.node").alias("pivot"), F.col("least.component").alias("pivot_component"))
+
+
+def _pairs_of_pivot(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """In each bucket, the pivot with every member of another component."""
-    order = F.struct(F.xxhash64(F.col("node"), F.lit(turn)), F.col("node"), F.col("component"))
-    pivot = members.groupBy("band", "key").agg(F.min(order).alias("pivot"))
-    pivot = pivot.select("band", "key", F.col("pivot.node").alias("p"), F.col("pivot.component").alias("c"))
-    return members.join(pivot, ["band", "key"]).where("component <> c").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
+    joined = members.join(pivots, ["band", "key"]).where("component <> pivot_component")
+    return joined.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_component").alias("component_a"), F.col("component").alias("component_b")).distinct()
 
 
-def _open_buckets(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """The members of buckets that still hold several components."""
-    now = members.join(joined.select(F.col("node"), F.col("component").alias("new")), "node", "left")
-    now = now.select("band", "key", "node", F.coalesce("new", "component").alias("component"))
+def _open_buckets(members: DataFrame, scores: DataFrame, pivots: DataFrame) -> DataFrame:
+    """The members of buckets that still hold several components, after the links of a round."""
+    links = scores.where(F.col("similarity") >= SIMILARITY).select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
+    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("new"))
+    used = pivots.select("band", "key", F.col("pivot").alias("node"), F.lit(1).alias("now"))
+    now = members.join(joined, "component", "left").join(used, ["band", "key", "node"], "left")
+    now = now.select("band", "key", "node", F.coalesce("new", "component").alias("component"), "centrality", (F.col("used") + F.coalesce("now", F.lit(0))).alias("used"))
     mixed = now.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return now.join(mixed.select("band", "key"), ["band", "key"], "left_semi")
 
 
+def _pairs_left(members: DataFrame) -> tuple[int, int]:
+    """Members of open buckets, and their pairs of different components."""
+    sizes = members.groupBy("band", "key", "component").agg(F.count("*").cast("double").alias("n"))
+    each = sizes.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    row = each.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0))).first()
+    return int(row[0]), int(row[1])
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc, salt, row, component, class_doc, class_row, class_size`` for each row of ``keyed`` documents.
 
@@ -191,25 +211,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = store(rows, "rows")
     nodes = signed.join(copies.select(F.col("node").alias("row")), "row", "left_semi")
     band = nodes.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "key"))
-    shared = band.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    members = store(band.join(shared, ["band", "key"], "left_semi").withColumn("component", F.col("node")), "buckets")
+    shared = band.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    members = store(band.join(shared, ["band", "key"]), "bands")
+    central = members.groupBy("node").agg(F.sum("n").alias("centrality"))
+    members = store(members.join(central, "node").select("band", "key", "node", F.col("node").alias("component"), "centrality", F.lit(0).alias("used")), "buckets")
     wanted = members.select(F.col("node").alias("row")).distinct().join(signed.select("row", "doc", "salt"), "row")
     found = docs.repartition(partitions(docs.sparkSession), "doc", "salt").join(wanted, ["doc", "salt"])
     texts = store(found.groupBy("row").agg(F.first("text").alias("text")).withColumnRenamed("row", "node"), "texts")
 
-    tested = None
-    for turn in range(PIVOT_ROUNDS):
-        pairs = _pairs_of_pivot(members, turn)
+    first = store(_pivots(members, 0), "pivots")
+    tested, pivots, turn, before = None, first, 0, None
+    while True:
+        pairs = _pairs_of_pivot(members, pivots)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         scores = store(_verify(pairs, texts), "scores")
         tested = scores if tested is None else tested.unionByName(scores)
-        links = tested.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-        joined = store(components(links), "components")
-        members = store(_open_buckets(members, joined), "buckets")
+        members = store(_open_buckets(members, scores, pivots), "buckets")
+        count, left = _pairs_left(members)
+        if left <= MANY_PAIRS * count or left == before:
+            break
+        turn, before = turn + 1, left
+        pivots = store(_pivots(members, turn), "pivots")
     # what is left, pair by pair within the ring that the distance to the first pivot allows
-    order = F.struct(F.xxhash64(F.col("node"), F.lit(0)), F.col("node"))
-    pivot = members.groupBy("band", "key").agg(F.min(order)["node"].alias("p"))
+    pivot = first.select("band", "key", F.col("pivot").alias("p"))
     distance = tested.select(F.col("a").alias("p"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
     ring = members.join(pivot, ["band", "key"]).join(distance.dropDuplicates(["p", "node"]), ["p", "node"], "left")
     ring = ring.withColumn("d", F.when(F.col("p") == F.col("node"), 0.0).otherwise(F.col("d")))
@@ -217,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = F.col("x.d").isNull() | F.col("y.d").isNull() | (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - SIMILARITY + 1e-9)
     same = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
     rest = x.join(y, same & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & near)
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("component_a"), F.col("y.component").alias("component_b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     scores = store(_verify(rest.join(done, ["a", "b"], "left_anti"), texts), "scores")
     links = tested.unionByName(scores).where(F.col("similarity") >= SIMILARITY).select("a", "b")
