@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartulary.functions.variants import kind
 
+
 def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
-    """Paths of a schema in the notation of the report: ``a.b``, ``list[].c``."""
+    """Paths of a schema in the notation of the report: ``a.b``, ``list[].c``; a key of a map is ``*``."""
     if isinstance(dtype, T.StructType):
         found = []
         for f in dtype.fields:
@@ -18,16 +21,32 @@ def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
         return found
     if isinstance(dtype, T.ArrayType):
         return [f"{path}[]", *declared_paths(dtype.elementType, f"{path}[]")]
+    if isinstance(dtype, T.MapType):
+        return [f"{path}.*", *declared_paths(dtype.valueType, f"{path}.*")]
     return []
 
 
-def observed_paths(df: DataFrame, doc: str, depth: int = 4) -> DataFrame:
-    """``path, type, n`` over all documents, in one scan with map-side counts.
+def nesting(df: DataFrame, doc: str) -> int:
+    """Levels of members below the documents of ``df``: unfolds until no container is left."""
+    unfold = df.sparkSession.tvf.variant_explode_outer
+    rows, levels = df.select(F.col(doc).alias("_value")), 0
+    while True:
+        rows = rows.filter(kind(F.col("_value")).isin("OBJECT", "ARRAY"))
+        if rows.isEmpty():
+            return max(levels, 1)
+        rows = rows.withColumnRenamed("_value", "_above").lateralJoin(unfold(F.col("_above").outer())).select(F.col("value").alias("_value"))
+        levels += 1
+
+
+def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFrame:
+    """``path, type, n`` over all documents and levels, in one scan with map-side counts.
 
     Every level unfolds the members of the level above, so that a row is a leaf with the
-    path that leads to it. A container is counted on the row of its first descendant. A
-    container at the depth bound is itself reported, its content is not.
+    path that leads to it. A container is counted on the row of its first descendant. The
+    number of levels is found first, unless the caller sets a ``depth``: a container there is
+    itself reported, its content is not.
     """
+    depth = nesting(df, doc) if depth is None else depth
     unfold = df.sparkSession.tvf.variant_explode_outer
     rows = df.select(F.lit("").alias("_path_0"), F.col(doc).alias("_value_0"))
     for n in range(1, depth + 1):
@@ -57,9 +76,14 @@ def observed_paths(df: DataFrame, doc: str, depth: int = 4) -> DataFrame:
     return found.groupBy("path", "type").agg(F.count("*").alias("n"))
 
 
-def drift(df: DataFrame, doc: str, schema: T.StructType, depth: int = 4) -> DataFrame:
+def drift(df: DataFrame, doc: str, schema: T.StructType, depth: int | None = None) -> DataFrame:
     """Observed paths that the schema does not declare.
 
     The declared paths come from the schema object, so they travel as literals.
     """
-    return observed_paths(df, doc, depth).filter(~F.col("path").isin(declared_paths(schema)))
+    declared = declared_paths(schema)
+    known = F.col("path").isin([p for p in declared if "*" not in p])
+    for path in declared:
+        if "*" in path:
+            known = known | F.col("path").rlike("^" + r"[^.\[\]]+".join(map(re.escape, path.split("*"))) + "$")
+    return observed_paths(df, doc, depth).filter(~known)

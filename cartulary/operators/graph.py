@@ -22,7 +22,7 @@ def missing_reverse(edge: DataFrame) -> DataFrame:
     return edge.join(swapped, ["src", "dst"], "left_anti")
 
 
-def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int = 64) -> DataFrame:
+def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int | None = None) -> DataFrame:
     """All ``node, ancestor, depth`` with the least depth; a node is not its own ancestor.
 
     Each round doubles the reach: the pairs at exactly the present reach are continued by
@@ -30,8 +30,8 @@ def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int =
     hierarchy of depth d takes about log2(d) rounds. A round is written to the checkpoint
     folder, so the plan stays short and a lost executor costs no earlier round. An
     ancestor that many nodes share is split. A parent without a row of its own ends its
-    branch. If ``max_depth`` levels do not suffice, this fails rather than return part of
-    the closure.
+    branch. It ends by itself; a caller that wants a guard may set ``max_depth``, and a
+    deeper hierarchy then fails rather than return part of the closure.
     """
     enable_checkpoints(edge.sparkSession)
     newest = (
@@ -55,6 +55,6 @@ def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int =
         deepest = newest.agg(F.max("depth")).first()[0]
         if deepest is None:
             return found
-        if deepest > max_depth:
+        if max_depth is not None and deepest > max_depth:
             raise ValueError(f"hierarchy is deeper than {max_depth} levels")
         found, reach = found.unionByName(newest), reach * 2

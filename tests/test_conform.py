@@ -116,3 +116,11 @@ def test_drift_reports_undeclared_only(documents, schema):
     rows = drift(documents('{"s":"x","ol":[{"id":"a","left":"1"}],"notes":"n"}'), "doc", schema).collect()
     assert {(r.path, r.type) for r in rows} == {("ol[].left", "STRING"), ("notes", "STRING")}
     assert "ol[].id" in declared_paths(schema)
+
+
+def test_drift_reaches_every_level_and_takes_map_keys_as_declared(documents):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"f":{"g":1}}}}}}}'
+    assert "a.b.c.d.e.f.g" in {r.path for r in observed_paths(documents(deep), "doc").collect()}
+    schema = T.StructType().add("names", T.MapType(T.StringType(), T.StringType()))
+    found = {r.path for r in drift(documents('{"names":{"en":"x","de":"y"},"other":{"en":1}}'), "doc", schema).collect()}
+    assert found == {"other", "other.en"}
