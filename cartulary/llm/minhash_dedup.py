@@ -14,9 +14,12 @@ shares buckets with the most others, which for many near copies of one text is t
 itself. Further rounds take other pivots for what is still in different components, as long
 as that is much and a round joins some of it. In the end, what a bucket still holds of
 different components is compared pair by pair, except where the sizes or the distances to the
-first pivot rule a link out (the distance is a metric), or where one-bit sketches of all
-coordinates are too far apart; such pairs are tested within the join and not emitted. Copies and near copies in thousands cost a comparison
-each, and every candidate link between components is decided.
+first pivot rule a link out (the distance is a metric), where one-bit sketches of all
+coordinates are too far apart, or where the regions of the two, if there are at most
+``MOST_REGIONS``, share too few. All this is tested within the join, in the first bucket that a
+pair shares, so that little more than links comes out of it, and is then verified on the texts.
+Copies and near copies in thousands cost a comparison each, and every candidate link between
+components is decided.
 
 Results for odd input: documents of one to four words are one shingle; those without words
 (null, empty, blank) are classes of their own; rows without an id and repeated rows take part
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,10 @@ COORDINATES, BANDS = 320, 40
 SKETCH_RADIUS = 60
 # Pairs left per member of a bucket, above which another round of pivots is worth its jobs.
 MANY_PAIRS = 2
+# Documents with more regions than this are not compared within the join, but on their texts.
+MOST_REGIONS = 2_048
+# Regions are compared by 32 bits; so many of those that a link shares may fall together.
+REGIONS_LOST = 2
 _STEP = U64(0xD1342543DE82EF95)
 
 
@@ -82,17 +90,21 @@ def _times(number: int) -> np.uint64:
     return U64(number * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
 
 
-def signatures(prints: np.ndarray, count: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """The earliest dart of each of ``k`` coordinates, one row a document; documents without shingles get zeros."""
-    out = np.zeros((len(count), k), U64)
+def _regions(prints: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit regions of all documents and their owners: of a repeated shingle its 1st, 2nd, ... unit of weight."""
     owner = rows_of(count)
     order = np.lexsort((prints, owner))
     prints = prints[order]
-    # the regions of a repeated shingle: its 1st, 2nd, ... unit of weight
     new = np.concatenate(([True], (prints[1:] != prints[:-1]) | (owner[1:] != owner[:-1]))) if len(prints) else np.zeros(0, bool)
     lead = np.flatnonzero(new)
     rank = np.arange(len(prints)) - np.repeat(lead, np.diff(np.append(lead, len(prints))))
-    regions = mix(prints + rank.astype(U64) * _STEP)
+    return mix(prints + rank.astype(U64) * _STEP), owner
+
+
+def signatures(prints: np.ndarray, count: np.ndarray, k: int = COORDINATES) -> np.ndarray:
+    """The earliest dart of each of ``k`` coordinates, one row a document; documents without shingles get zeros."""
+    out = np.zeros((len(count), k), U64)
+    regions, owner = _regions(prints, count)
     darts = k * np.log(k) + 2 * k
     todo = np.flatnonzero(count)
     reach = np.zeros(len(count))
@@ -141,6 +153,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _region_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        prints, count, _ = shingles(*text_bytes(part.column("text")))
+        regions, _ = _regions(prints, count)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(regions.astype(np.uint32).view(np.int32)))
+        few = pa.array(count <= MOST_REGIONS)
+        yield pa.RecordBatch.from_arrays([part.column("node"), pc.if_else(few, lists, pa.scalar(None, lists.type))], names=["node", "regions"])
+
+
 def similarity(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two multisets: distinct values in order, and their counts."""
     (a, n), (b, m) = one, other
@@ -188,6 +209,13 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
 
+def _regions_allow() -> Column:
+    """What ``x`` and ``y`` share is enough for a link, or one of them has too many regions to tell."""
+    shared = F.size(F.array_intersect("x.regions", "y.regions"))
+    enough = SIMILARITY / (1 + SIMILARITY) * (F.col("x.size") + F.col("y.size")) - REGIONS_LOST
+    return F.col("x.regions").isNull() | F.col("y.regions").isNull() | (shared >= enough - 1e-9)
+
+
 def _pairs_of_pivot(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """In each bucket, the pivot with every member of another component."""
     joined = members.join(pivots, ["band", "key"]).where("component <> pivot_component").where(_sizes_allow(F.col("size"), F.col("pivot_size")))
@@ -251,12 +279,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     distance = tested.select(F.col("a").alias("p"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
     ring = members.join(pivot, ["band", "key"]).join(distance.dropDuplicates(["p", "node"]), ["p", "node"], "left")
     ring = ring.withColumn("d", F.when(F.col("p") == F.col("node"), 0.0).otherwise(F.col("d")))
-    ring = ring.join(signed.select(F.col("row").alias("node"), "sketch"), "node")
+    ring = ring.join(signed.select(F.col("row").alias("node"), "sketch", "bands"), "node")
+    regions = texts.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(_region_lists, "node long, regions array<int>")
+    ring = ring.join(regions, "node")
     x, y = ring.alias("x"), ring.alias("y")
     differ = sum((F.bit_count(F.get("x.sketch", i).bitwiseXOR(F.get("y.sketch", i))) for i in range(COORDINATES // 64)), F.lit(0))
     near = F.col("x.d").isNull() | F.col("y.d").isNull() | (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - SIMILARITY + 1e-9)
     same = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-    rest = x.join(y, same & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & near & _sizes_allow(F.col("x.size"), F.col("y.size")) & (differ <= SKETCH_RADIUS))
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow(F.col("x.size"), F.col("y.size"))
+    # bands of different places never agree, so this is the first bucket that both share
+    earlier = [F.slice(f"{side}.bands", 1, F.col(f"{side}.band")) for side in "xy"]
+    rest = x.join(y, same & apart & near & (differ <= SKETCH_RADIUS) & ~F.arrays_overlap(*earlier) & _regions_allow())
     rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("component_a"), F.col("y.component").alias("component_b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     scores = store(_verify(rest.join(done, ["a", "b"], "left_anti"), texts), "scores")
