@@ -14,12 +14,12 @@ shares buckets with the most others, which for many near copies of one text is t
 itself. Further rounds take other pivots for what is still in different components, as long
 as that is much and a round joins some of it. In the end, what a bucket still holds of
 different components is compared pair by pair, except where the sizes or the distances to the
-first pivot rule a link out (the distance is a metric), where one-bit sketches of all
-coordinates are too far apart, or where the regions of the two, if there are at most
-``MOST_REGIONS``, share too few. All this is tested within the join, in the first bucket that a
-pair shares, so that little more than links comes out of it, and is then verified on the texts.
-Copies and near copies in thousands cost a comparison each, and every candidate link between
-components is decided.
+first pivot rule a link out (the distance is a metric), or where the regions of the two share too
+few; of documents with more than ``MOST_REGIONS`` one-bit sketches of all coordinates stand for
+these. Buckets are cut into blocks of about ``BLOCK`` members, and each two blocks meet in one
+place, where the regions shared by all their pairs are one product of two matrices. Little more
+than links comes out of it, and is then verified on the texts. Copies and near copies in
+thousands cost a comparison each, and every candidate link between components is decided.
 
 Results for odd input: documents of one to four words are one shingle; those without words
 (null, empty, blank) are classes of their own; rows without an id and repeated rows take part
@@ -30,6 +30,7 @@ input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,10 @@ COORDINATES, BANDS = 320, 40
 SKETCH_RADIUS = 60
 # Pairs left per member of a bucket, above which another round of pivots is worth its jobs.
 MANY_PAIRS = 2
-# Documents with more regions than this are not compared within the join, but on their texts.
+# Documents with more regions than this are compared by their sketches, then on their texts.
 MOST_REGIONS = 2_048
+# Members of a bucket that are compared in one place to as many others, and columns of a matrix at once.
+BLOCK, COLUMNS = 1_024, 4_096
 # Regions are compared by 32 bits; so many of those that a link shares may fall together.
 REGIONS_LOST = 2
 _STEP = U64(0xD1342543DE82EF95)
@@ -209,11 +212,85 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
 
-def _regions_allow() -> Column:
-    """What ``x`` and ``y`` share is enough for a link, or one of them has too many regions to tell."""
-    shared = F.size(F.array_intersect("x.regions", "y.regions"))
-    enough = SIMILARITY / (1 + SIMILARITY) * (F.col("x.size") + F.col("y.size")) - REGIONS_LOST
-    return F.col("x.regions").isNull() | F.col("y.regions").isNull() | (shared >= enough - 1e-9)
+BLOCKS = ["band", "key", "low", "high"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows of the same two blocks."""
+    held, last = [], None
+    for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in BLOCKS], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for low, high in pairwise([0, *cuts.tolist(), len(keys)] if len(keys) else []):
+            now = tuple(keys[low])
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def shared_regions(values: np.ndarray, count: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many values each list ``x`` shares with each list ``y``; the lists follow one another in ``values``."""
+    _, column, often = np.unique(values, return_inverse=True, return_counts=True)
+    twice = often > 1
+    kept = twice[column]
+    column, owner = (np.cumsum(twice) - 1)[column[kept]], rows_of(count)[kept]
+    order = np.argsort(column)
+    column, owner = column[order], owner[order]
+    shared = np.zeros((len(x), len(y)), np.float32)
+    for start in range(0, int(twice.sum()), COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        present = np.zeros((len(count), int(column[high - 1]) - start + 1), np.float32)
+        present[owner[low:high], column[low:high] - start] = 1
+        shared += present[x] @ present[y].T
+    return shared
+
+
+def _likely(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the two members of each pair that may be linked."""
+    part, low, high, component, size = (group.column(n).to_numpy() for n in ("part", "low", "high", "component", "size"))
+    distance = group.column("d").to_numpy().astype(float)
+    x, y = np.flatnonzero(part == low[0]), np.flatnonzero(part == high[0])
+    may = component[x][:, None] != component[y]
+    if low[0] == high[0]:
+        may &= x[:, None] < y
+    may &= np.minimum(size[x][:, None], size[y]) >= SIMILARITY * np.maximum(size[x][:, None], size[y]) - 1e-9
+    may &= ~(np.abs(distance[x][:, None] - distance[y]) > 1 - SIMILARITY + 1e-9)  # not known: may
+    x, y, may = x[may.any(axis=1)], y[may.any(axis=0)], may[may.any(axis=1)][:, may.any(axis=0)]
+    if not len(x):
+        return x, y
+    regions = group.column("regions").combine_chunks()
+    count = pc.fill_null(pc.list_value_length(regions), 0).to_numpy()
+    shared = shared_regions(regions.flatten().to_numpy(), count, x, y)
+    least = SIMILARITY / (1 + SIMILARITY) * (size[x][:, None] + size[y]) - REGIONS_LOST
+    listed = count > 0
+    known = listed[x][:, None] & listed[y]
+    i, j = np.nonzero(may & (~known | (shared >= least - 1e-6)))
+    sketch = group.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(part), -1)
+    differ = np.bitwise_count(sketch[x[i]] ^ sketch[y[j]]).sum(axis=1)
+    right = known[i, j] | (differ <= SKETCH_RADIUS)
+    return x[i[right]], y[j[right]]
+
+
+def _test_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _groups(batches):
+        x, y = _likely(group)
+        if len(x):
+            node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (node[x], node[y], component[x], component[y])], names=["a", "b", "component_a", "component_b"])
+
+
+def _pairs_of_blocks(ring: DataFrame) -> DataFrame:
+    """``a, b, component_a, component_b`` of all pairs within buckets that may be linked, perhaps more than once."""
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = ring.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    block = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    block = block.select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "component", "size", "d", "sketch", "regions")
+    dealt = block.repartition(partitions(ring.sparkSession), *BLOCKS).sortWithinPartitions(*BLOCKS)
+    return dealt.mapInArrow(_test_blocks, "a long, b long, component_a long, component_b long")
 
 
 def _pairs_of_pivot(members: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -277,20 +354,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # what is left, pair by pair within the ring that the distance to the first pivot allows
     pivot = first.select("band", "key", F.col("pivot").alias("p"))
     distance = tested.select(F.col("a").alias("p"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d"))
-    ring = members.join(pivot, ["band", "key"]).join(distance.dropDuplicates(["p", "node"]), ["p", "node"], "left")
+    held = members.groupBy("band", "key").agg(F.count("*").alias("n"))
+    ring = members.join(held.join(pivot, ["band", "key"]), ["band", "key"]).join(distance.dropDuplicates(["p", "node"]), ["p", "node"], "left")
     ring = ring.withColumn("d", F.when(F.col("p") == F.col("node"), 0.0).otherwise(F.col("d")))
-    ring = ring.join(signed.select(F.col("row").alias("node"), "sketch", "bands"), "node")
     regions = texts.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(_region_lists, "node long, regions array<int>")
-    ring = ring.join(regions, "node")
-    x, y = ring.alias("x"), ring.alias("y")
-    differ = sum((F.bit_count(F.get("x.sketch", i).bitwiseXOR(F.get("y.sketch", i))) for i in range(COORDINATES // 64)), F.lit(0))
-    near = F.col("x.d").isNull() | F.col("y.d").isNull() | (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - SIMILARITY + 1e-9)
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow(F.col("x.size"), F.col("y.size"))
-    # bands of different places never agree, so this is the first bucket that both share
-    earlier = [F.slice(f"{side}.bands", 1, F.col(f"{side}.band")) for side in "xy"]
-    rest = x.join(y, same & apart & near & (differ <= SKETCH_RADIUS) & ~F.arrays_overlap(*earlier) & _regions_allow())
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("component_a"), F.col("y.component").alias("component_b")).distinct()
+    ring = ring.join(signed.select(F.col("row").alias("node"), "sketch").join(regions, "node"), "node")
+    rest = _pairs_of_blocks(ring).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("component_a")).otherwise(F.col("component_b")).alias("component_a"), F.when(F.col("a") < F.col("b"), F.col("component_b")).otherwise(F.col("component_a")).alias("component_b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     scores = store(_verify(rest.join(done, ["a", "b"], "left_anti"), texts), "scores")
     links = tested.unionByName(scores).where(F.col("similarity") >= SIMILARITY).select("a", "b")

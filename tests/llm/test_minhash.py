@@ -9,8 +9,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from cartulary.llm import minhash_dedup as method
 from cartulary.llm.components import components
-from cartulary.llm.minhash_dedup import COORDINATES, minhash_dedup, multiset, op2_minhash_dedup, signatures, similarity
+from cartulary.llm.minhash_dedup import COORDINATES, minhash_dedup, multiset, op2_minhash_dedup, shared_regions, signatures, similarity
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -108,3 +109,31 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert dict(found) == {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert len(found) == len(dict(found))
+
+
+@pytest.mark.parametrize("columns", [3, 4_096])
+def test_shared_regions(monkeypatch, columns):
+    monkeypatch.setattr(method, "COLUMNS", columns)
+    rng = random.Random(8)
+    lists = [rng.sample(range(60), rng.randint(0, 30)) for _ in range(25)]
+    values = np.array([v for part in lists for v in part], np.int32)
+    x, y = np.array([0, 3, 7, 24]), np.arange(25)
+    found = shared_regions(values, np.array([len(part) for part in lists]), x, y)
+    assert found.tolist() == [[len(set(lists[i]) & set(lists[j])) for j in y] for i in x]
+
+
+def test_copies_without_their_original(docs, monkeypatch):
+    """Near copies which no pivot joins, so that they meet in blocks, several a bucket."""
+    monkeypatch.setattr(method, "BLOCK", 16)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for place in rng.sample(range(200), rng.choice((2, 4, 5, 6, 8))):
+            text[place] = f"x{i}_{place}"
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, f"{text} z z z") for i, text in rows[:20]]
+    found = got(minhash_dedup(docs(*rows)))
+    assert found == brute(rows)
+    assert 10 < len({class_id for _, class_id, _ in found}) < 100
