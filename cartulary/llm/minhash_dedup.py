@@ -124,11 +124,15 @@ def signatures(prints: np.ndarray, count: np.ndarray, k: int = COORDINATES) -> n
             number += 1
             at = at - np.log(_uniform(seed + _times(number)))
         slot, at, dart = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((dart, at, slot))
-        slot, dart = slot[order], dart[order]
-        first = np.concatenate(([True], slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, bool)
-        out.reshape(-1)[slot[first]] = dart[first]
-        full = np.bincount(slot[first] // k, minlength=len(count))
+        least = np.full(out.size, np.inf)
+        np.minimum.at(least, slot, at)
+        first = at == least[slot]
+        slot, dart = slot[first], dart[first]
+        earliest = np.full(out.size, np.iinfo(U64).max, U64)  # of several darts at once the least
+        np.minimum.at(earliest, slot, dart)
+        hit = np.flatnonzero(np.isfinite(least))
+        out.reshape(-1)[hit] = earliest[hit]
+        full = np.bincount(hit // k, minlength=len(count))
         todo = todo[full[todo] < k]
         reach[todo] *= 2
         keep = np.zeros(len(count), bool)
