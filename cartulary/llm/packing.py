@@ -2,7 +2,8 @@
 
 Documents are cut at multiples of the sequence length. The histogram of piece lengths, at most
 one count per length, is packed on the driver: lengths from the longest down, each into the
-shortest packs that exist, by counts of equal packs, opening new ones where it fits in none.
+shortest packs that exist, by counts of equal packs, which take it as often as it fits, opening
+new ones where it fits in none.
 The resulting patterns are then joined back: pieces are ranked within their length, and the
 rank names the pattern, its copy and the place in it.
 
@@ -58,15 +59,14 @@ def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[tu
     open_packs: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)  # by room left
     for size in sorted(histogram, reverse=True):
         left = histogram[size]
-        placed: list[tuple[int, tuple[int, ...], int]] = []
-        for room in sorted((r for r in open_packs if r >= size), reverse=True):
-            packs = open_packs[room]
+        for room in range(length, size - 1, -1):  # a pack that takes a piece comes again under its new room
+            packs = open_packs.get(room)
             while left and packs:
                 pattern, count = packs.pop()
                 used = min(left, count)
                 if used < count:
                     packs.append((pattern, count - used))
-                placed.append((room - size, (*pattern, size), used))
+                open_packs[room - size].append(((*pattern, size), used))
                 left -= used
             if not left:
                 break
@@ -74,10 +74,8 @@ def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[tu
         while left:
             times = min(each, left)
             count = left // times
-            placed.append((length - times * size, (size,) * times, count))
+            open_packs[length - times * size].append(((size,) * times, count))
             left -= times * count
-        for room, pattern, count in placed:
-            open_packs[room].append((pattern, count))
     return [p for room in sorted(open_packs) for p in open_packs[room]]
 
 
