@@ -134,7 +134,7 @@ def twice_seen(docs: DataFrame, min_chars: int, bits: int) -> np.ndarray:
 
 
 def _suspects(min_chars: int, bits: int, shared):
-    schema = pa.schema([("doc", pa.int64()), ("salt", pa.int32()), ("line", pa.int32()), ("key", pa.string())])
+    schema = pa.schema([("doc", pa.int64()), ("salt", pa.binary()), ("line", pa.int32()), ("key", pa.string())])
     size = 1 << min(bits, SEGMENT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int, bits: int) ->
     """``doc, salt, lines``: the numbers of the lines that each document loses."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(twice_seen(docs, min_chars, bits).tobytes())
-    suspects = store(docs.mapInArrow(_suspects(min_chars, bits, shared), "doc long, salt int, line int, key string"), "suspects")
+    suspects = store(docs.mapInArrow(_suspects(min_chars, bits, shared), "doc long, salt binary, line int, key string"), "suspects")
     holders = suspects.select("key", "doc").distinct()
     frequent = holders.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs)
     lost = suspects.join(frequent.select("key", "keeper"), "key").where("doc <> keeper")

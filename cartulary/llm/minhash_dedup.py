@@ -141,7 +141,7 @@ def signatures(prints: np.ndarray, count: np.ndarray, k: int = COORDINATES) -> n
     return out
 
 
-SIGNED = "doc long, salt int, k1 long, k2 long, size long, bands array<long>, sketch array<long>"
+SIGNED = "doc long, salt binary, k1 long, k2 long, size long, bands array<long>, sketch array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

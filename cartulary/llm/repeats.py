@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from cartulary.llm.anchors import pick_anchors
 from cartulary.llm.arrays import U64, powers, ragged, slices, text_bytes
-from cartulary.llm.shared import partitions, store, text_size
+from cartulary.llm.shared import SALT_BYTES, partitions, store, text_size
 
 BUCKET_BYTES = 8_000_000
 EMIT = 1_000_000
 _LOW48 = U64((1 << 48) - 1)
+# Salts as numpy compares and sorts them; a single element of it would lose its trailing zeros, a slice does not.
+_SALT = f"S{SALT_BYTES}"
 # Sequences of a slice: values to compare, and the document offsets among them.
 Sequences = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -46,6 +48,10 @@ def unpack(data: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def salts_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), _SALT)
+
+
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
     """Rows of one bucket after another; the input is sorted by bucket."""
     bucket, rows = None, []
@@ -81,7 +87,7 @@ def _emit_anchors(sequences: Sequences, window: int, gram: int, buckets: int):
             yield {
                 "bucket": int(bucket[part[0]]),
                 "docs": pack(docs[used], 8),
-                "salts": pack(salts[used], 4),
+                "salts": salts[used].tobytes(),
                 "refs": pack(local, 4),
                 "first": pack(first[part], 6),
                 "run": pack(run[part], 3),
@@ -105,7 +111,7 @@ def _emit_anchors(sequences: Sequences, window: int, gram: int, buckets: int):
             context = (context ^ (context >> U64(32))) & _LOW48
             refs = np.searchsorted(offsets, found.at, "right") - 1
             ids = part.column("doc").to_numpy(zero_copy_only=False)
-            salts = part.column("salt").to_numpy(zero_copy_only=False).astype(np.uint32)
+            salts = salts_of(part.column("salt"))
             held.append((ids, salts, refs, found.first - offsets[refs], found.last - found.first, found.print, context))
             count += len(refs)
             if count >= EMIT:
@@ -119,10 +125,10 @@ def _emit_anchors(sequences: Sequences, window: int, gram: int, buckets: int):
 
 ANCHORS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs", "salts", "refs", "first", "run", "prints", "contexts"))])
 ANCHORS_DDL = "bucket int, docs binary, salts binary, refs binary, first binary, run binary, prints binary, contexts binary"
-REPLIES = pa.schema([("doc", pa.int64()), ("salt", pa.int32()), ("known", pa.binary()), ("asked", pa.binary())])
-REPLIES_DDL = "doc long, salt int, known binary, asked binary"
-SPANS = pa.schema([("doc", pa.int64()), ("salt", pa.int32()), ("known", pa.binary())])
-SPANS_DDL = "doc long, salt int, known binary"
+REPLIES = pa.schema([("doc", pa.int64()), ("salt", pa.binary()), ("known", pa.binary()), ("asked", pa.binary())])
+REPLIES_DDL = "doc long, salt binary, known binary, asked binary"
+SPANS = pa.schema([("doc", pa.int64()), ("salt", pa.binary()), ("known", pa.binary())])
+SPANS_DDL = "doc long, salt binary, known binary"
 
 
 def _table(rows: Iterator[dict], schema: pa.Schema, most: int = 2000) -> Iterator[pa.RecordBatch]:
@@ -146,13 +152,13 @@ def per_document(docs: np.ndarray, salts: np.ndarray, keep: np.ndarray, *columns
     both = np.unique(np.concatenate((starts, grouped(salts[which])[0])))
     block = np.stack([c[which] for c in columns], 1).astype(np.int64)
     for start, stop in zip(both, np.append(both[1:], len(which)), strict=True):
-        yield int(docs[which[start]]), int(salts[which[start]]), block[start:stop].tobytes()
+        yield int(docs[which[start]]), salts[which[start : start + 1]].tobytes(), block[start:stop].tobytes()
 
 
 def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in by_bucket(batches):
         docs = np.concatenate([unpack(r["docs"], 8)[unpack(r["refs"], 4).astype(np.int64)] for r in rows]).astype(np.int64)
-        salts = np.concatenate([unpack(r["salts"], 4)[unpack(r["refs"], 4).astype(np.int64)] for r in rows]).astype(np.uint32).view(np.int32)
+        salts = np.concatenate([np.frombuffer(r["salts"], _SALT)[unpack(r["refs"], 4).astype(np.int64)] for r in rows])
         first = np.concatenate([unpack(r["first"], 6) for r in rows]).astype(np.int64)
         run = np.concatenate([unpack(r["run"], 3) for r in rows]).astype(np.int64)
         prints = np.concatenate([unpack(r["prints"], 6) for r in rows])
@@ -184,7 +190,7 @@ def _emit_contexts(sequences: Sequences, window: int):
             rows = np.repeat(np.arange(len(asked)), [len(a) for a in asked])
             every = np.concatenate(asked)
             docs = part.column("doc").to_numpy(zero_copy_only=False)[rows]
-            salts = part.column("salt").to_numpy(zero_copy_only=False)[rows].astype(np.uint32)
+            salts = salts_of(part.column("salt"))[rows]
             order = np.argsort(every[:, 2], kind="stable")
             starts, sizes = grouped(every[order, 2])
             made = []
@@ -195,7 +201,7 @@ def _emit_contexts(sequences: Sequences, window: int):
                     {
                         "bucket": int(every[which[0], 2]),
                         "docs": pack(docs[which], 8),
-                        "salts": pack(salts[which], 4),
+                        "salts": salts[which].tobytes(),
                         "first": pack(first, 6),
                         "size": pack(length, 4),
                         "values": values[ragged(first + offsets[rows[which]], length)].tobytes(),
@@ -214,7 +220,7 @@ def _match_contexts(matcher: Matcher, window: int, dtype: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_bucket(batches):
             docs = np.concatenate([unpack(r["docs"], 8) for r in rows]).astype(np.int64)
-            salts = np.concatenate([unpack(r["salts"], 4) for r in rows]).astype(np.uint32).view(np.int32)
+            salts = np.concatenate([np.frombuffer(r["salts"], _SALT) for r in rows])
             first = np.concatenate([unpack(r["first"], 6) for r in rows]).astype(np.int64)
             size = np.concatenate([unpack(r["size"], 4) for r in rows]).astype(np.int64)
             values = np.concatenate([np.frombuffer(r["values"], dtype) for r in rows])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartulary.llm import decontamination, line_dedup, minhash_dedup, packing, quality
-from cartulary.llm.shared import NO_ID, keyed, partitions, read, store
+from cartulary.llm.shared import NO_ID, keyed, partitions, read, salt_of, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,7 +17,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
     """``doc, salt, text`` as operators know a document, and its ``row`` of all columns."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("salt"), text.alias("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), salt_of(text).alias("salt"), text.alias("text"),
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
     )
 
