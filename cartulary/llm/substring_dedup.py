@@ -1,11 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by lookup of word windows in earlier blocks, in place of a Lempel-Ziv parse.
 
 The reference is the corpus itself, cut into blocks and indexed through anchors (see
 ``repeats``): every window of 13 words has its place in exactly one bucket, and documents are
-factored against all reference blocks of their buckets that come before them. Factors run as
-far as the words agree with one earlier source; where a factor ends, the windows that cross
-its boundary are looked up anew, so no repeat is lost between two factors. Factors of 13 words
-and more become duplicate spans.
+held against all reference blocks of their buckets that come before them. Each window is
+looked up by itself; no factor is extended and no source position kept. What the windows found
+cover becomes duplicate spans.
 
 Results for odd input: null or empty text has no words; a null id comes after all ids and
 before none; rows of one id never remove one another's words; equal rows get equal results;
