@@ -17,6 +17,7 @@ from cartulary.llm.quality import op8_quality_rules
 from cartulary.llm.secret_scan import op9_secret_scan
 from cartulary.llm.substring_dedup import op1_substring_dedup
 from cartulary.llm.suffix_dedup import op3_suffix_dedup
+from cartulary.llm.turn_repair import op11_turn_repair
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,7 @@ def queries() -> dict[str, QueryFn]:
         op8_quality_rules,
         op9_secret_scan,
         op10_packing,
+        op11_turn_repair,
     )
     return {f.__name__: f for f in found}
 
