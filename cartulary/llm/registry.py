@@ -10,6 +10,7 @@ from cartulary.llm import sql
 from cartulary.llm.chat_format import op5_chat_format
 from cartulary.llm.context_tree import op6_context_tree_scores
 from cartulary.llm.decontamination import op7_decontamination
+from cartulary.llm.embedding_dedup import op12_embedding_dedup
 from cartulary.llm.line_dedup import op4_line_dedup
 from cartulary.llm.minhash_dedup import op2_minhash_dedup
 from cartulary.llm.packing import op10_packing
@@ -35,6 +36,7 @@ def queries() -> dict[str, QueryFn]:
         op9_secret_scan,
         op10_packing,
         op11_turn_repair,
+        op12_embedding_dedup,
     )
     return {f.__name__: f for f in found}
 

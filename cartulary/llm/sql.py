@@ -96,3 +96,26 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY rid
 """
+
+ORACLE["op12_embedding_dedup"] = r"""
+WITH RECURSIVE vec AS (
+    SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), fit AS (
+    SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM vec
+    WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.n, b.n AS m FROM fit a JOIN fit b ON a.label = b.label AND len(a.v) = len(b.v) AND a.n <> b.n
+    WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) / (a.size * b.size) >= 0.98
+), reach AS (
+    SELECT n, n AS m FROM vec
+    UNION
+    SELECT r.n, l.m FROM reach r JOIN link l ON l.n = r.m
+), least AS (
+    SELECT r.n, min(v.vec_id) AS component_id FROM reach r JOIN vec v ON v.n = r.m GROUP BY r.n
+), degree AS (
+    SELECT n, count(*) AS n_links FROM link GROUP BY n
+)
+SELECT v.vec_id, coalesce(d.n_links, 0)::BIGINT AS n_links, l.component_id, coalesce(v.vec_id = l.component_id, false) AS kept
+FROM vec v JOIN least l ON l.n = v.n LEFT JOIN degree d ON d.n = v.n
+"""
