@@ -86,9 +86,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             start = stop
 
 
-def find_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def find_words(raw: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte positions where words start and end, and the number of words before each document."""
-    inside = IN_WORD[raw]
+    inside = in_word[raw]
     before, after = np.empty_like(inside), np.empty_like(inside)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     if len(raw):

@@ -11,6 +11,7 @@ from cartulary.llm.chat_format import op5_chat_format
 from cartulary.llm.context_tree import op6_context_tree_scores
 from cartulary.llm.decontamination import op7_decontamination
 from cartulary.llm.embedding_dedup import op12_embedding_dedup
+from cartulary.llm.lexical_search import op13_lexical_search
 from cartulary.llm.line_dedup import op4_line_dedup
 from cartulary.llm.minhash_dedup import op2_minhash_dedup
 from cartulary.llm.packing import op10_packing
@@ -37,6 +38,7 @@ def queries() -> dict[str, QueryFn]:
         op10_packing,
         op11_turn_repair,
         op12_embedding_dedup,
+        op13_lexical_search,
     )
     return {f.__name__: f for f in found}
 

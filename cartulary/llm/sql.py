@@ -119,3 +119,30 @@ WITH RECURSIVE vec AS (
 SELECT v.vec_id, coalesce(d.n_links, 0)::BIGINT AS n_links, l.component_id, coalesce(v.vec_id = l.component_id, false) AS kept
 FROM vec v JOIN least l ON l.n = v.n LEFT JOIN degree d ON d.n = v.n
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_lexical_search"] = rf"""
+WITH doc AS (
+    SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents
+), item AS (
+    SELECT row_number() OVER () AS i, item_id, {_TERMS} AS terms FROM benchmark
+), total AS (
+    SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc WHERE len(terms) > 0
+), tf AS (
+    SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM doc) GROUP BY ALL
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tf, total GROUP BY term
+), asked AS (
+    SELECT i, term, count(*) AS times FROM (SELECT i, unnest(terms) AS term FROM item) GROUP BY ALL
+), norm AS (
+    SELECT d, doc_id, 100 - 25 + ((25 * len(terms)::BIGINT * n_docs) // n_terms) AS m FROM doc, total WHERE len(terms) > 0
+), scored AS (
+    SELECT i, d, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN norm USING (d) GROUP BY i, d
+), ranked AS (
+    SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+    FROM scored JOIN norm USING (d) WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked JOIN item USING (i) WHERE rank <= 20
+"""

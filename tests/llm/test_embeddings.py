@@ -79,11 +79,10 @@ def test_equals_all_pairs(spark, dim, sizes):
     assert got(embedding_dedup(table(spark, rows))) == brute(rows)
 
 
-@pytest.mark.parametrize(("cell", "rows_at_once"), [(7, 3), (40, 16)])
-def test_chunks_and_depth_change_nothing(spark, monkeypatch, cell, rows_at_once):
+@pytest.mark.parametrize("cell", [7, 40])
+def test_chunks_and_depth_change_nothing(spark, monkeypatch, cell):
     """Small cells: the grid takes all coordinates, and cells of near copies are dealt into many chunks."""
     monkeypatch.setattr(method, "CELL", cell)
-    monkeypatch.setattr(method, "ROWS", rows_at_once)
     rows = groups(3, 64, [20, 5], labels=1)
     assert got(embedding_dedup(table(spark, rows))) == brute(rows)
 
