@@ -155,9 +155,11 @@ def mismatches(value: Column, dtype: T.DataType, path: str, position: Column | N
         )
         return F.array(row.cast(VIOLATION))
 
-    def container(content: Column, places: Callable[[Column], Column]) -> Column:
+    def container(content: Column, places: Callable[[Column], Column], null_fits: bool = True) -> Column:
+        wrong = is_present(value) if null_fits else value.isNotNull()
+
         def inner(c: Column) -> Column:
-            return F.when(c.isNotNull(), places(c)).when(is_present(value), report("type")).otherwise(none)
+            return F.when(c.isNotNull(), places(c)).when(wrong, report("type")).otherwise(none)
 
         return F.when(value.isNull(), none).otherwise(let(content, inner))
 
@@ -173,7 +175,8 @@ def mismatches(value: Column, dtype: T.DataType, path: str, position: Column | N
         def element(e: Column, i: Column) -> Column:
             return mismatches(e, dtype.elementType, f"{path}[]", i + 1 if position is None else position)
 
-        return container(as_elements(value), lambda items: F.flatten(F.transform(items, element)))
+        # a list that is present but null comes out as null, which is a change of its own
+        return container(as_elements(value), lambda items: F.flatten(F.transform(items, element)), null_fits=False)
     if isinstance(dtype, T.MapType):
         return container(
             as_fields(value),

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.functions.variants import as_text, field
+from cartulary.functions.variants import as_text, field, is_falsy
 from cartulary.operators.conform import conform
 from cartulary.operators.normalize import normalise, rules_for
+from cartulary.plans.build import build_parsed
 from cartulary.plans.queries_documents import block_text, docs
-from cartulary.plans.registry import Tables, obj, query, quote
+from cartulary.plans.registry import Tables, arr, obj, query, quote
 from cartulary.schemas import block_schema
 from cartulary.session import scratch_path
 from cartulary.sinks.publish import (
@@ -20,7 +25,7 @@ from cartulary.sinks.publish import (
     write_parquet,
     write_table,
 )
-from cartulary.sources.documents import read_json_lines
+from cartulary.sources.documents import read_json_lines, scan_documents
 
 COUNTS_SQL = """
     SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
@@ -110,3 +115,82 @@ def publish_plan(t: Tables) -> DataFrame:
     output = scratch_path(t.spark, "build")
     publish(tables, output, documents={"blocks": (normalise(parsed, "doc", rules), "doc")})
     return published_counts(t.spark, list(tables), output, ["jsonl", "parquet", "table"])
+
+
+# Customers as documents: every eleventh cut off, every seventh of the rest empty, names of some no text.
+FATE = "CASE WHEN c_custkey % 11 = 0 THEN 'quarantined' WHEN c_custkey % 7 = 0 THEN 'empty' ELSE 'good' END"
+
+
+def country_text() -> Column:
+    key = F.col("c_custkey")
+    whole = obj(
+        code=quote(F.concat(F.lit("C"), key)),
+        name=F.when(key % 5 == 0, F.lit("[1]")).otherwise(quote(F.col("c_name"))),
+        borders=F.when(key % 3 == 0, F.lit("null")).otherwise(arr(quote(F.concat(F.lit("N"), F.col("c_nationkey"))))),
+    )
+    return F.when(key % 11 == 0, F.regexp_replace(whole, "}$", "")).when(key % 7 == 0, F.lit("{}")).otherwise(whole)
+
+
+@query(
+    "r26_build_accounts",
+    f"""
+    WITH c AS (SELECT c_custkey AS k, {FATE} AS fate FROM customer)
+    SELECT 'countries' AS table_name, count(*) AS n_documents, count(*) FILTER (WHERE fate = 'good') AS n_good,
+           count(*) FILTER (WHERE fate = 'empty') AS n_empty, count(*) FILTER (WHERE fate = 'quarantined') AS n_quarantined,
+           count(*) FILTER (WHERE fate = 'good') AS n_published,
+           count(*) FILTER (WHERE fate = 'good' AND k % 5 = 0) + count(*) FILTER (WHERE fate = 'good' AND k % 3 = 0) AS n_violations
+    FROM c
+    UNION ALL
+    SELECT 'intblocks', count(*), count(*), 0, 0, count(*), 0 FROM part
+    """,
+)
+def build_accounts(t: Tables) -> DataFrame:
+    parsed = {
+        "countries": docs(t.customer.withColumn("path", F.col("c_custkey").cast("string")), country_text(), "path"),
+        "intblocks": docs(t.part.withColumn("path", F.col("p_partkey").cast("string")), block_text(), "path"),
+    }
+    return build_parsed(t.spark, parsed, scratch_path(t.spark, "build"), "parquet")
+
+
+def write_files(df: DataFrame, folder: str, name: str, content: str) -> int:
+    """A file for each row, written by the tasks to a shared folder; returns how many."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = pyarrow.fs.FileSystem.from_uri(folder)
+        store.create_dir(root)
+        for batch in batches:
+            for path, data in zip(batch.column(name).to_pylist(), batch.column(content).to_pylist(), strict=True):
+                with store.open_output_stream(f"{root}/{path}") as out:
+                    out.write(data)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    return df.select(name, content).mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
+
+
+@query(
+    "r01_document_files",
+    """
+    SELECT s_suppkey AS k, CASE WHEN s_suppkey % 9 = 0 THEN 'empty' WHEN s_suppkey % 7 = 0 OR s_suppkey % 5 = 0 THEN 'quarantined' ELSE 'good' END AS fate,
+           CASE WHEN s_suppkey % 9 <> 0 AND s_suppkey % 7 = 0 THEN 'not UTF-8 text' WHEN s_suppkey % 9 <> 0 AND s_suppkey % 5 = 0 THEN 'malformed document' END AS error,
+           CASE WHEN s_suppkey % 9 <> 0 AND s_suppkey % 7 <> 0 AND s_suppkey % 5 <> 0 THEN s_name END AS name
+    FROM supplier
+    """,
+)
+def document_files(t: Tables) -> DataFrame:
+    """A file for each supplier: some of length zero, some no UTF-8, some cut off."""
+    key = F.col("s_suppkey")
+    text = obj(name=quote(F.col("s_name")))
+    content = (
+        F.when(key % 9 == 0, F.lit(b""))
+        .when(key % 7 == 0, F.concat(text.cast("binary"), F.lit(b"\xff")))
+        .when(key % 5 == 0, F.regexp_replace(text, "}$", "").cast("binary"))
+        .otherwise(text.cast("binary"))
+    )
+    folder = scratch_path(t.spark, "files")
+    write_files(t.supplier.select(F.concat(key, F.lit(".json")).alias("name"), content.alias("content")), folder, "name", "content")
+    parsed = scan_documents(t.spark, folder)
+    fate = F.when(F.col("error").isNotNull(), "quarantined").when(is_falsy(F.col("doc")), "empty").otherwise("good")
+    return parsed.select(
+        F.regexp_extract("path", "([0-9]+)[.]json$", 1).cast("bigint").alias("k"), fate.alias("fate"), "error",
+        F.when(fate == "good", as_text(field(F.col("doc"), "name"))).alias("name"),
+    )

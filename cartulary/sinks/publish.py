@@ -29,7 +29,7 @@ def write_json_lines(df: DataFrame, path: str, doc: str | None = None, compressi
 def write_parquet(df: DataFrame, path: str, level: int = ZSTD_LEVEL, partition_by: Sequence[str] = ()) -> None:
     """Parquet with native nesting, zstd compressed.
 
-    ``ARCHIVE_ZSTD_LEVEL`` suits small tables that are written once and downloaded often;
+    A ``level`` of ``ARCHIVE_ZSTD_LEVEL`` suits small tables that are written once and downloaded often;
     the default writes large tables many times faster.
     """
     writer = df.write.mode("overwrite").option("compression", "zstd")

@@ -70,7 +70,10 @@ def test_build_from_yaml(spark, tmp_path):
         str(tmp_path / "out"),
         "jsonl,parquet",
     )
-    assert {r.table_name: r.n_rows for r in counts.collect()} == {"countries": 1, "intblocks": 1, "blocktypes": 2}
+    rows = {r.table_name: tuple(r)[1:] for r in counts.collect()}
+    assert rows == {"countries": (1, 1, 0, 0, 1, 0), "intblocks": (2, 1, 0, 1, 1, 0), "blocktypes": (2, 2, 0, 0, 2, 0)}
+    (bad,) = spark.read.parquet(str(tmp_path / "out/intblocks.quarantine")).collect()
+    assert bad.path.endswith("Y.yaml") and bad.error.startswith("YAML error")
     block = spark.read.parquet(str(tmp_path / "out/intblocks.parquet")).first()
     assert (block.name, block.partof, block.includes[0].id) == ("no", ["Y"], "no")
     raw = json.loads(spark.read.text(str(tmp_path / "out/intblocks.jsonl")).first()[0])
@@ -79,6 +82,44 @@ def test_build_from_yaml(spark, tmp_path):
     assert {(t.id, None if t.other_names is None else len(t.other_names)) for t in types} == {("energy", 0), ("bank", None)}
 
 
+def test_build_accounts_for_odd_input(spark, tmp_path):
+    """Every file is in one class, a mismatch in the violations, and a file that holds no list is not lost."""
+    for folder, name, text in [
+        ("countries", "A", b"code: A\nborders:\nname: [x]\n"), ("countries", "B", b""), ("countries", "C", b"# comment\n"), ("countries", "D", b"code: \xff\n"),
+        ("countries", "E", b"code: E\narea: .nan\n"), ("countries", "F", b"1: x\n'1': y\n"), ("blocks", "X", b"id: X\nmembership_count: many\n"),
+    ]:
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / f"{name}.yaml").write_bytes(text)
+    (tmp_path / "types.yaml").write_text("id: energy\n")
+    out = tmp_path / "out"
+    counts = build(spark, *[str(tmp_path / p) for p in ("countries", "blocks", "types.yaml")], str(out), "parquet", level=22)
+    rows = {r.table_name: r for r in counts.collect()}
+    assert tuple(rows["countries"])[1:6] == (6, 1, 2, 3, 1)
+    assert tuple(rows["blocktypes"])[1:6] == (1, 0, 0, 1, 0)
+    assert (rows["intblocks"].n_published, rows["intblocks"].n_violations) == (1, 1)
+    for r in rows.values():
+        assert r.n_documents == r.n_good + r.n_empty + r.n_quarantined and r.n_published == r.n_good
+    bad = {r.path[-6]: r.error for r in spark.read.parquet(f"{out}/countries.quarantine").collect()}
+    assert set(bad) == {"D", "E", "F"} and bad["D"] == "not UTF-8 text" and bad["E"] == bad["F"]
+    assert spark.read.parquet(f"{out}/blocktypes.quarantine").first().error == "not a list of documents: object"
+    places = {(r.path, r.found) for r in spark.read.parquet(f"{out}/countries.violations").collect()}
+    assert places == {("borders", "void"), ("name", "array")}
+
+
+def test_a_data_set_is_parsed_once(spark, documents, tmp_path, monkeypatch):
+    """All that is published comes from the one parse that was written."""
+    from cartulary.plans import build as plan
+
+    seen = []
+    monkeypatch.setattr(plan, "publish", lambda tables, *a: seen.extend([*tables.values(), *(d for d, _ in a[3].values())]))
+    monkeypatch.setattr(plan, "published_counts", lambda *a: spark.createDataFrame([("intblocks", 1, "parquet")], "table_name string, n_rows long, format string"))
+    monkeypatch.setattr(plan, "write_parquet", lambda df, path: (seen.append(df), df.write.parquet(path)))
+    plan.build_parsed(spark, {"intblocks": documents('{"id":"a"}', "{", "{}")}, str(tmp_path), "parquet")
+    assert len(seen) == 4
+    for df in seen:
+        assert "parse_json" not in df._jdf.queryExecution().optimizedPlan().toString().lower().replace("parsejson", "parse_json")
+
+
 def test_dataset_stages_add_up(documents):
     parsed = documents('{"id":"a","membership_count":"x"}', "{}", '{"id"', '{"id":"b"}')
     stages = build_dataset(parsed, "intblocks")
