@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +27,20 @@ def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
 
 
 def nesting(df: DataFrame, doc: str) -> int:
-    """Levels of members below the documents of ``df``: unfolds until no container is left."""
-    unfold = df.sparkSession.tvf.variant_explode_outer
-    rows, levels = df.select(F.col(doc).alias("_value")), 0
-    while True:
-        rows = rows.filter(kind(F.col("_value")).isin("OBJECT", "ARRAY"))
-        if rows.isEmpty():
-            return max(levels, 1)
-        rows = rows.withColumnRenamed("_value", "_above").lateralJoin(unfold(F.col("_above").outer())).select(F.col("value").alias("_value"))
-        levels += 1
+    """Levels of members below the documents of ``df``, in one aggregate.
+
+    Of a document's JSON text only the brackets outside strings are looked at: the deepest
+    place is where most are open.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.to_json(F.col(doc)), r"\\.", ""), '"[^"]*+"', "")
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+
+    def step(state: Column, bracket: Column) -> Column:
+        now = state["open"] + F.when(bracket.isin("{", "["), 1).otherwise(-1)
+        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
+
+    deepest = F.aggregate(F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), F.lit(0)), start, step, lambda state: state["most"])
+    return max(df.agg(F.max(deepest)).first()[0] or 0, 1)
 
 
 def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFrame:
@@ -43,8 +48,8 @@ def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFra
 
     Every level unfolds the members of the level above, so that a row is a leaf with the
     path that leads to it. A container is counted on the row of its first descendant. The
-    number of levels is found first, unless the caller sets a ``depth``: a container there is
-    itself reported, its content is not.
+    number of levels is found first, by one aggregate at any depth, unless the caller sets a ``depth``: a
+    container there is itself reported, its content is not.
     """
     depth = nesting(df, doc) if depth is None else depth
     unfold = df.sparkSession.tvf.variant_explode_outer

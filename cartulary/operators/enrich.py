@@ -7,10 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.operators.joins import lookup_join
-
-# The schemes a country code can come in. Width restores leading zeros.
-COUNTRY_SCHEMES = {"alpha2": "code", "alpha3": "iso3code", "numeric": "numeric_code", "m49": "m49_code"}
+# Restores leading zeros.
 NUMERIC_WIDTH = 3
 
 
@@ -47,17 +44,17 @@ def resolve_codes(facts: DataFrame, code: str, walk: DataFrame, key: str) -> Dat
     )
     single = meanings.filter(F.col("_low") == F.col("_high")).select("code_key", "scheme", F.col("_low").alias(key))
     tagged = facts.withColumn("code_key", canonical_code(F.col(code).cast("string")))
-    return lookup_join(tagged, single, ["code_key"], "left").drop("code_key")
+    return tagged.join(single, "code_key", "left").drop("code_key")
 
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str], attributes: Sequence[str], flag: str = "matched") -> DataFrame:
     """Left join the attributes of a dimension with unique keys; unmatched facts are kept.
 
-    A dimension that proves small is broadcast. Beyond that the join shuffles, with heavy
-    keys split.
+    Spark broadcasts the dimension where its size allows, known from statistics or measured; else
+    the join shuffles and heavy keys are split at run time.
     """
     side = dim.select(*on, *attributes).withColumn(flag, F.lit(True))
-    joined = lookup_join(facts, side, on, "left")
+    joined = facts.join(side, list(on), "left")
     return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

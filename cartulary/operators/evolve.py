@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.variants import as_elements, as_fields, edit_elements, field, is_object
-from cartulary.operators.joins import salted_join
 
 
 def merge_members(existing: DataFrame, additions: DataFrame, keys: Sequence[str] = ("block", "member")) -> DataFrame:
@@ -24,27 +23,14 @@ def merge_members(existing: DataFrame, additions: DataFrame, keys: Sequence[str]
     )
 
 
-def generate_blocks(
-    df: DataFrame, attribute: str, member: str, fields: Sequence[str] = (), chunk: int = 10_000
-) -> DataFrame:
-    """Blocks from an attribute: ``block, part, n_parts, membership_count, includes``.
+def generate_blocks(df: DataFrame, attribute: str, member: str, fields: Sequence[str] = ()) -> DataFrame:
+    """Blocks from an attribute in long form: ``block, member``, the fields, ``membership_count``.
 
-    A block of up to ``chunk`` members is one row. A larger one is split by a hash of the
-    member into parts of about that size, so no task ever gathers a whole hot group; the
-    parts together hold every member.
+    One row a member at any size of a block, so that no task gathers a block; the counts are
+    combined early, and where a block is hot its rows are split at run time.
     """
-    counts = df.groupBy(attribute).agg(F.count("*").alias("membership_count"))
-    parts = F.ceil(F.col("membership_count") / chunk).cast("int")
-    placed = (
-        salted_join(df.select(attribute, member, *fields), counts, [attribute], "inner")
-        .withColumn("n_parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64(member), F.col("n_parts")).cast("int") + 1)
-    )
-    includes = F.sort_array(F.collect_list(F.struct(F.col(member).alias("id"), *fields)))
-    return (
-        placed.groupBy(F.col(attribute).alias("block"), "part", "n_parts", "membership_count")
-        .agg(includes.alias("includes"))
-    )
+    rows = df.filter(F.col(attribute).isNotNull()).select(F.col(attribute).alias("block"), F.col(member).alias("member"), *fields)
+    return rows.join(rows.groupBy("block").agg(F.count("*").alias("membership_count")), "block")
 
 
 def migrate_field(

@@ -22,26 +22,41 @@ def collect_findings(*tables: DataFrame) -> DataFrame:
     return combined
 
 
-def verdicts(checked: DataFrame, joined: DataFrame | None = None, check_urls: bool = True) -> DataFrame:
-    """``path, n_findings, valid`` for every document; valid means no findings.
-
-    Local findings are counted within the row. Those of the probe and entity joins, if
+def verdicts(
+    checked: DataFrame, joined: DataFrame | None = None, check_urls: bool = True, unchecked: DataFrame | None = None
+) -> DataFrame:
+    """``path, n_findings, n_unchecked, valid`` for every document.
+
+    Invalid means findings, valid that there are none; where nothing was found but links were not
+    checked (``unchecked``, a row each), that is not known, and ``valid`` is null. Local findings are
+    counted within the row. Those of the probe and entity joins, if
     any, are counted per document before they meet it, so both sides are unique.
     """
     local = F.size(local_findings(check_urls)).cast("bigint")
-    counted = checked.select("path", local.alias("n_findings"))
-    if joined is not None:
-        more = joined.groupBy("path").agg(F.count("*").alias("_more"))
-        total = F.col("n_findings") + F.coalesce("_more", F.lit(0))
-        counted = counted.join(more, "path", "left").select("path", total.alias("n_findings"))
-    return counted.withColumn("valid", F.col("n_findings") == 0)
-
-
-def totals(checked: DataFrame, n_findings: Column) -> DataFrame:
-    """One row: valid and invalid documents, and findings in all."""
+    counted = checked.select("path", local.alias("n_findings"), F.lit(0).cast("bigint").alias("n_unchecked"))
+    remote = [] if joined is None else [joined.select("path", F.lit(1).alias("f"), F.lit(0).alias("u"))]
+    remote += [] if unchecked is None else [unchecked.select("path", F.lit(0).alias("f"), F.lit(1).alias("u"))]
+    if remote:
+        rows = remote[0] if len(remote) == 1 else remote[0].unionByName(remote[1])
+        more = rows.groupBy("path").agg(F.sum("f").alias("f"), F.sum("u").alias("u"))
+        total = F.col("n_findings") + F.coalesce("f", F.lit(0))
+        counted = counted.join(more, "path", "left").select("path", total.alias("n_findings"), F.coalesce("u", F.lit(0)).alias("n_unchecked"))
+    known = F.when((F.col("n_findings") > 0) | (F.col("n_unchecked") == 0), F.col("n_findings") == 0)
+    return counted.withColumn("valid", known)
+
+
+def totals(checked: DataFrame, n_findings: Column, n_unchecked: Column | None = None) -> DataFrame:
+    """One row: valid and invalid documents, and findings in all; with ``n_unchecked`` also ``n_undecided``, documents
+    without findings whose links were not all checked, and links not checked."""
+    open_links = F.lit(0) if n_unchecked is None else n_unchecked
+    more = [] if n_unchecked is None else [
+        F.count_if((n_findings == 0) & (open_links > 0)).alias("n_undecided"),
+        F.coalesce(F.sum(open_links.cast("bigint")), F.lit(0)).alias("n_unchecked"),
+    ]
     return checked.agg(
-        F.count_if(n_findings == 0).alias("n_valid"),
+        F.count_if((n_findings == 0) & (open_links == 0)).alias("n_valid"),
         F.count_if(n_findings > 0).alias("n_invalid"),
+        *more,
         F.coalesce(F.sum(n_findings.cast("bigint")), F.lit(0)).alias("n_findings"),
     )
 

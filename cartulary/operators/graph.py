@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.operators.joins import salted_join
 from cartulary.session import enable_checkpoints
 
 
@@ -29,7 +28,7 @@ def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int |
     all pairs found so far, and what is known already is dropped, which ends cycles. A
     hierarchy of depth d takes about log2(d) rounds. A round is written to the checkpoint
     folder, so the plan stays short and a lost executor costs no earlier round. An
-    ancestor that many nodes share is split. A parent without a row of its own ends its
+    ancestor that many nodes share is split at run time. A parent without a row of its own ends its
     branch. It ends by itself; a caller that wants a guard may set ``max_depth``, and a
     deeper hierarchy then fails rather than return part of the closure.
     """
@@ -46,7 +45,7 @@ def ancestor_closure(edge: DataFrame, child: str, parent: str, max_depth: int |
             F.col("node").alias("_start"), F.col("ancestor").alias("node")
         )
         climbed = (
-            salted_join(farthest, found, ["node"], "inner", ["_start"])
+            farthest.join(found, "node")
             .filter(F.col("_start") != F.col("ancestor"))
             .groupBy(F.col("_start").alias("node"), "ancestor")
             .agg((F.min("depth") + reach).alias("depth"))

@@ -7,16 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.operators.joins import salted_join
-
 
 def duplicates(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Rows whose key occurs more than once, with ``n_copies`` and ``kept``.
 
     ``order`` decides which copy is kept and must tell the copies of a key apart. Counts
     and the kept copy come from one aggregate with map-side combine, not from a window
-    that would pull all copies of a hot key into one task; heavy keys are salted on the
-    way back to the rows.
+    that would pull all copies of a hot key into one task; on the way back to the rows heavy
+    keys are split at run time.
     """
     picked = (
         df.filter(F.col(key).isNotNull())
@@ -24,7 +22,7 @@ def duplicates(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
         .agg(F.count("*").alias("n_copies"), F.min(F.struct(*order)).alias("_first"))
         .filter(F.col("n_copies") > 1)
     )
-    rows = salted_join(df, picked, [key], "inner")
+    rows = df.join(picked, key)
     return rows.withColumn("kept", F.struct(*order) == F.col("_first")).drop("_first")
 
 

@@ -30,7 +30,6 @@ from cartulary.functions.variants import (
     kind,
     truthy_text,
 )
-from cartulary.operators.joins import salted_join
 
 LINK = "struct<position:int,url:string,type:string,fault:string,qid:string,route:string>"
 FINDING = "struct<ordinal:bigint,rule:string,position:int,message:string>"
@@ -262,20 +261,44 @@ def explode_findings(checked: DataFrame, check_urls: bool = True) -> DataFrame:
     return checked.select("entity_id", "path", F.inline(local_findings(check_urls)))
 
 
-def probe_outcomes(links: DataFrame, probes: DataFrame) -> DataFrame:
+def latest_probes(asked: DataFrame, probes: DataFrame, max_age: Column | None = None) -> DataFrame:
+    """``url, at, head, get``: of each method the latest probe made at or before ``at``.
+
+    ``asked`` has distinct ``url, at``, ``probes`` also ``probed_at``. A probe older than
+    ``max_age`` (an interval) at that time is stale and does not count. Of probes of one
+    time the one with the greatest status counts. Each pair keeps one candidate per task before the shuffle.
+    """
+    taken = F.col("probed_at") <= F.col("at")
+    if max_age is not None:
+        taken = taken & (F.col("probed_at") >= F.col("at") - max_age)
+    shot = F.struct("status", "error")
+    order = F.struct("probed_at", F.coalesce("status", F.lit(-1)), F.coalesce("error", F.lit("")))
+    return (
+        asked.join(probes, "url")
+        .filter(taken)
+        .groupBy("url", "at")
+        .agg(*[F.max_by(shot, F.when(F.col("method") == m.upper(), order)).alias(m) for m in ("head", "get")])
+    )
+
+
+def probe_outcomes(links: DataFrame, probes: DataFrame, at: Column | None = None, max_age: Column | None = None) -> DataFrame:
     """Attach the outcome of probing to links that carry ``url`` and ``route``.
 
-    ``probes``: ``url, method, status, error``. The methods of one URL are folded into one
-    row first, so each link meets one row; a URL that many links share is salted. Adds
-    ``ok, status, problem``; a link without the probe it needs has a NULL ``ok``.
+    ``probes``: ``url, method, status, error``, and ``probed_at`` if there are several of a URL
+    and method: with ``at``, a time (of the check, or of each link), the latest up to then counts,
+    unless it is older than ``max_age``. The methods of one URL are folded into one
+    row first, so each link meets one row. Adds ``ok, status, problem``; a link without the probe it
+    needs is not checked and has a NULL ``ok``.
     """
-    by_url = probes.groupBy("url").agg(
-        *[
+    if at is None:
+        shots = [
             F.max(F.when(F.col("method") == method.upper(), F.struct("status", "error"))).alias(method)
             for method in ("head", "get")
         ]
-    )
-    joined = salted_join(links, by_url, ["url"], "left")
+        joined = links.join(probes.groupBy("url").agg(*shots), "url", "left")
+    else:
+        timed = links.withColumn("at", at)
+        joined = timed.join(latest_probes(timed.select("url", "at").distinct(), probes, max_age), ["url", "at"], "left").drop("at")
     second = (F.col("route") == "head_then_get") & F.col("head.error").isNull() & (F.col("head.status") == 405)
     shot = F.when(second, F.col("get")).otherwise(F.col("head"))
     fetched = F.col("route").isin("head", "head_then_get")
@@ -307,13 +330,17 @@ def probe_outcomes(links: DataFrame, probes: DataFrame) -> DataFrame:
     )
 
 
-def probe_findings(checked: DataFrame, probes: DataFrame) -> DataFrame:
-    """Findings of links whose probe failed; malformed URLs are found row-locally."""
+def probe_results(checked: DataFrame, probes: DataFrame, at: Column | None = None, max_age: Column | None = None) -> DataFrame:
+    """Outcomes of all links that need a probe; malformed URLs are found row-locally."""
     links = checked.select("entity_id", "path", F.inline("links")).filter(
         F.col("route").isin("head", "head_then_get")
     )
-    failed = probe_outcomes(links, probes).filter(~F.col("ok"))
-    return failed.select(
+    return probe_outcomes(links, probes, at, max_age)
+
+
+def probe_findings(results: DataFrame) -> DataFrame:
+    """Findings of links whose probe failed."""
+    return results.filter(~F.col("ok")).select(
         "entity_id",
         "path",
         (F.col("position") * 2 + 1).cast("bigint").alias("ordinal"),
@@ -327,11 +354,11 @@ def entity_outcomes(entities: DataFrame, labels: DataFrame) -> DataFrame:
     """Look up ``qid`` (with ``name``) in ``labels``: ``qid, label, missing``.
 
     Adds ``label`` and ``verdict``: ``not_found``, ``name_mismatch`` or ``ok``. ``labels``
-    has one row per id and may be as large as the entities, so it is never forced into a
-    broadcast; an id that many rows share is salted.
+    has one row per id and may be as large as the entities, so no side is forced into a
+    broadcast; an id that many rows share is split at run time.
     """
     known = labels.select("qid", "label", F.coalesce("missing", F.lit(False)).alias("_missing"))
-    joined = salted_join(entities, known, ["qid"], "left")
+    joined = entities.join(known, "qid", "left")
     verdict = (
         F.when(F.col("_missing").isNull() | F.col("_missing"), "not_found")
         .when(~similar_names(F.col("name"), F.col("label")), "name_mismatch")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartulary.functions.dates import first_day, last_day
-from cartulary.operators.joins import salted_join
 from cartulary.session import enable_checkpoints
 
 
@@ -49,11 +48,15 @@ def memberships_on_days(facts: DataFrame, intervals: DataFrame, member: str, day
     """Memberships in force for each member on each day it occurs in ``facts``.
 
     Facts are counted per member and day first (``n_facts``), so a hot member brings no
-    more rows than the calendar has days. The member is the equi-key, split where it is
-    heavy; the interval is checked on the joined row.
+    more rows than the calendar has days. An interval goes to each year it touches, of those
+    that the facts span, and meets the days of that year only: a member with many days and
+    many intervals does not multiply them. Days at an interval's ends are checked on the joined row.
     """
-    days = facts.groupBy(member, day).agg(F.count("*").alias("n_facts"))
-    joined = salted_join(days, intervals, [member], "inner")
+    days = facts.filter(F.col(day).isNotNull()).groupBy(member, day).agg(F.count("*").alias("n_facts"))
+    first, last = (facts.agg(F.year(f(day))).scalar() for f in (F.min, F.max))
+    lo, hi = F.greatest(F.year("valid_from"), first), F.least(F.year("valid_to"), last)
+    yearly = intervals.withColumn("_year", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    joined = days.withColumn("_year", F.year(day)).join(yearly, [member, "_year"]).drop("_year")
     return joined.filter((F.col("valid_from") <= F.col(day)) & (F.col(day) <= F.col("valid_to")))
 
 
@@ -86,7 +89,7 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
     Adds ``n_first, n_second, n_shared, n_union``. The pairs to compare are data, such as
     the edges of a hierarchy: the members of the smaller block of each pair are looked up
     in the other, so the work is the sum of the smaller sizes and no member fans out to
-    all pairs of its blocks. Hot blocks and hot members are split. Members and sizes are
+    all pairs of its blocks. Hot blocks and hot members are split at run time. Members and sizes are
     read several times and therefore written to the checkpoint folder.
     """
     enable_checkpoints(pairs.sparkSession)
@@ -100,7 +103,7 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
 
     def with_size(df: DataFrame, side: str) -> DataFrame:
         named = sizes.select(F.col("_block").alias(side), F.col("_size").alias(f"n_{side}"))
-        return salted_join(df, named, [side], "left").fillna(0, [f"n_{side}"])
+        return df.join(named, side, "left").fillna(0, [f"n_{side}"])
 
     sized = with_size(with_size(compare.select("first", "second").distinct(), "first"), "second").checkpoint()
     first_smaller = F.col("n_first") <= F.col("n_second")
@@ -110,10 +113,10 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
         "first",
         "second",
     )
-    candidates = salted_join(members, driven, ["_block"], "inner")
+    candidates = members.join(driven, "_block")
     looked_up = members.select(F.col("_block").alias("_other"), "_member")
     shared = (
-        salted_join(candidates, looked_up, ["_other", "_member"], "left_semi", ["first", "second"])
+        candidates.join(looked_up, ["_other", "_member"], "left_semi")
         .groupBy("first", "second")
         .agg(F.count("*").alias("n_shared"))
     )
@@ -124,6 +127,44 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
     )
 
 
+def similar_pairs(pairs: DataFrame, least: float, block: str = "block", member: str = "member") -> DataFrame:
+    """Pairs of different blocks, ``first < second``, that may reach a Jaccard similarity of ``least``: none is missed.
+
+    Members are ordered by how many blocks have them. Blocks that are similar share one
+    of the first, rarest few members of each: of ``n`` members the first ``n - ceil(least * n) + 1``.
+    Only these are joined, and only blocks whose sizes allow the similarity. A member that
+    very many blocks have comes last, and is compared where blocks hold little else.
+    """
+    members = pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member"))
+    members = members.filter(F.col("_block").isNotNull() & F.col("_member").isNotNull()).distinct()
+    rarity = members.groupBy("_member").agg(F.count("*").alias("_blocks"))
+    sizes = members.groupBy("_block").agg(F.count("*").alias("_size"))
+    ranked = members.join(rarity, "_member").join(sizes, "_block")
+    by_rarity = Window.partitionBy("_block").orderBy("_blocks", "_member")
+    # a margin against rounding: a longer prefix loses nothing
+    kept = F.col("_size") - F.ceil(F.col("_size") * least - 1e-9) + 1
+    prefix = ranked.withColumn("_rank", F.row_number().over(by_rarity)).filter(F.col("_rank") <= kept)
+    left = prefix.select("_member", F.col("_block").alias("first"), F.col("_size").alias("_n"), F.col("_rank").alias("_i"))
+    right = prefix.select("_member", F.col("_block").alias("second"), F.col("_size").alias("_m"), F.col("_rank").alias("_j"))
+    n, m = F.col("_n"), F.col("_m")
+    # what can be shared from this member on, against what the similarity asks for
+    rest = F.least(n - F.col("_i"), m - F.col("_j")) + F.least("_i", "_j")
+    fits = (F.least(n, m) + 1e-9 >= F.greatest(n, m) * least) & (rest + 1e-9 >= (n + m) * (least / (1 + least)))
+    return left.join(right, "_member").filter((F.col("first") < F.col("second")) & fits).select("first", "second").distinct()
+
+
+def similar_blocks(pairs: DataFrame, least: float, block: str = "block", member: str = "member") -> DataFrame:
+    """All pairs of blocks with a Jaccard similarity of at least ``least``, as ``overlap`` gives them.
+
+    ``least`` is above 0: blocks that share nothing are not found. The candidates are compared
+    exactly, from the smaller block of each.
+    """
+    if not 0 < least <= 1:
+        raise ValueError(f"no similarity: {least}")
+    found = overlap(pairs, similar_pairs(pairs, least, block, member), block, member)
+    return found.filter(F.col("n_shared") + 1e-9 >= F.col("n_union") * least)
+
+
 def jaccard(shared: Column, total: Column, digits: int = 6) -> Column:
     return F.round(F.when(total > 0, shared / total).otherwise(F.lit(0.0)), digits)
 

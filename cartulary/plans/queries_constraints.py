@@ -119,12 +119,12 @@ def enumeration(t: Tables) -> DataFrame:
     r"""
     SELECT page_id, 'min_items' AS rule, 'hrefs' AS path, CAST(NULL AS INTEGER) AS position,
            '[' || array_to_string(list_transform(hrefs, lambda h: '"' || h || '"'), ',') || ']' AS value
-    FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"\\]*)"', 1) AS hrefs FROM pages)
+    FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages)
     WHERE len(hrefs) < 6
     """,
 )
 def minimum_items(t: Tables) -> DataFrame:
-    hrefs = F.regexp_extract_all("html", F.lit(r'href="([^"\\]*)"'), F.lit(1))
+    hrefs = F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1))
     parsed = docs(t.pages, obj(hrefs=F.to_json(hrefs)), "page_id")
     return check_constraints(parsed, "doc", [min_items("hrefs", 6)], ["page_id"])
 
@@ -185,15 +185,15 @@ def one_of_shapes(t: Tables) -> DataFrame:
     "s11_uri",
     r"""
     WITH links AS (
-      SELECT page_id, url, regexp_extract(html, 'href="([^"\\]*)"', 1) AS href FROM pages)
-    SELECT page_id, 'uri' AS rule, path, CAST(NULL AS INTEGER) AS position, value
-    FROM (SELECT page_id, 'url' AS path, url AS value FROM links
-          UNION ALL SELECT page_id, 'href', href FROM links)
+      SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages)
+    SELECT page_id, 'uri' AS rule, path, CAST(position AS INTEGER) AS position, value
+    FROM (SELECT page_id, 'url' AS path, NULL AS position, url AS value FROM links
+          UNION ALL SELECT page_id, 'hrefs[]', generate_subscripts(hrefs, 1), unnest(hrefs) FROM links)
     WHERE regexp_extract(value, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) = ''
        OR regexp_extract(value, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1) = ''
     """,
 )
 def uri_format(t: Tables) -> DataFrame:
-    href = F.regexp_extract("html", r'href="([^"\\]*)"', 1)
-    parsed = docs(t.pages, obj(url=quote(F.col("url")), href=quote(href)), "page_id")
-    return check_constraints(parsed, "doc", [uri("url"), uri("href")], ["page_id"])
+    hrefs = F.array_join(F.transform(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1)), quote), ",")
+    parsed = docs(t.pages, obj(url=quote(F.col("url")), hrefs=F.concat(F.lit("["), hrefs, F.lit("]"))), "page_id")
+    return check_constraints(parsed, "doc", [uri("url"), uri("hrefs[]")], ["page_id"])

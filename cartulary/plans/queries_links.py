@@ -6,7 +6,7 @@ link on secure pages, and all hrefs of the whole HTML as further links.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.functions.text import similar_names, well_formed_url
@@ -28,18 +28,18 @@ from cartulary.operators.links import (
     probe_outcomes,
 )
 from cartulary.plans.queries_documents import docs
-from cartulary.plans.registry import Tables, obj, query, quote
-from cartulary.plans.validate import validate
+from cartulary.plans.registry import Tables, arr, obj, query, quote
+from cartulary.plans.validate import Validation, validate
 from cartulary.sources.documents import parse_documents
 
-HREF = r'href="([^"\\]*)"'
+HREF = r'href="([^"]*)"'
 
 # The same documents, as lists of structs.
 LINKS_SQL = r"""
 p AS (
   SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)', 1) AS seg,
          starts_with(url, 'https:') AS secure, regexp_extract(url, 'example\.([a-z]+)', 1) AS tld,
-         regexp_extract_all(html, 'href="([^"\\]*)"', 1) AS hrefs
+         regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs
   FROM pages),
 d AS (
   SELECT page_id, 'P' || page_id AS entity_id, seg,
@@ -190,7 +190,7 @@ def id_missing(t: Tables) -> DataFrame:
     r"""
     WITH u AS (
       SELECT page_id, url FROM pages
-      UNION ALL SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"\\]*)"', 1)) FROM pages)
+      UNION ALL SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) FROM pages)
     SELECT page_id, url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) <> ''
       AND regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1) <> '' AS well_formed
     FROM u
@@ -269,16 +269,19 @@ def probing(t: Tables) -> DataFrame:
     "v11_entity_lookup",
     """
     SELECT l_orderkey, l_linenumber, l_partkey,
-           CASE WHEN p_type = 'ECONOMY' OR p_size > 40 THEN 'not_found' ELSE 'ok' END AS verdict
+           CASE WHEN p_type = 'ECONOMY' OR p_size > 40 THEN 'not_found'
+                WHEN l_linenumber % 3 = 0 THEN 'name_mismatch' ELSE 'ok' END AS verdict
     FROM lineitem JOIN part ON l_partkey = p_partkey
     """,
 )
 def entity_lookup(t: Tables) -> DataFrame:
+    """Each line names its part as the label does, as a part of the label, or as something else."""
     labels = t.part.filter(F.col("p_type") != "ECONOMY").select(
-        F.col("p_partkey").alias("qid"), F.col("p_name").alias("label"), (F.col("p_size") > 40).alias("missing")
+        F.col("p_partkey").alias("qid"), F.concat(F.lit("Part "), "p_partkey").alias("label"), (F.col("p_size") > 40).alias("missing")
     )
-    asked = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("qid"))
-    outcome = entity_outcomes(asked.withColumn("name", F.lit("")), labels)
+    key, line = F.col("l_partkey"), F.col("l_linenumber") % 3
+    name = F.when(line == 0, F.lit("nothing alike")).when(line == 1, F.concat(F.lit("part "), key)).otherwise(F.concat(F.lit("THE PART "), key))
+    outcome = entity_outcomes(t.lineitem.select("l_orderkey", "l_linenumber", key.alias("qid"), name.alias("name")), labels)
     return outcome.select("l_orderkey", "l_linenumber", F.col("qid").alias("l_partkey"), "verdict")
 
 
@@ -348,7 +351,87 @@ def all_findings(t: Tables) -> DataFrame:
     """,
 )
 def document_verdicts(t: Tables) -> DataFrame:
-    return validate(page_documents(t)).verdicts
+    return validate(page_documents(t)).verdicts.drop("n_unchecked")
+
+
+# Two links a page, and what probes of the first said by the page's number: none; an old failure and a later success;
+# the reverse; one that is stale; a refused HEAD with a GET; one from after the check; a timeout.
+ONLINE_SQL = """
+probe AS (
+  SELECT url, m AS method, TIMESTAMP '2024-06-01 00:00:00' - to_days(CAST(days AS INTEGER)) AS probed_at, status, error
+  FROM pages, (VALUES (1, 'HEAD', 30, 404, NULL), (1, 'HEAD', 3, 200, NULL), (2, 'HEAD', 30, 200, NULL), (2, 'HEAD', 3, 404, NULL),
+    (3, 'HEAD', 800, 200, NULL), (4, 'HEAD', 2, 405, NULL), (4, 'GET', 2, 301, NULL), (5, 'HEAD', 9, 200, NULL), (5, 'HEAD', -9, 500, NULL),
+    (6, 'HEAD', 1, NULL, 'timeout')) AS s(k, m, days, status, error)
+  WHERE page_id % 7 = k
+  UNION ALL SELECT url || '/about', 'HEAD', TIMESTAMP '2024-05-20 00:00:00', 200, NULL FROM pages WHERE page_id % 5 > 0),
+link AS (
+  SELECT page_id, url, 1 AS position FROM pages UNION ALL SELECT page_id, url || '/about', 2 FROM pages),
+fresh AS (
+  SELECT * FROM probe WHERE probed_at <= TIMESTAMP '2024-06-01 00:00:00' AND probed_at >= TIMESTAMP '2023-06-02 00:00:00'),
+last AS (
+  SELECT url, method, arg_max(struct_pack(s := status, e := error), probed_at) AS shot FROM fresh GROUP BY url, method),
+shot AS (
+  SELECT page_id, position, CASE WHEN h.shot.s = 405 THEN g.shot ELSE h.shot END AS shot
+  FROM link LEFT JOIN last h ON h.url = link.url AND h.method = 'HEAD' LEFT JOIN last g ON g.url = link.url AND g.method = 'GET'),
+seen AS (
+  SELECT page_id, position, shot IS NULL AS open,
+         shot IS NOT NULL AND (shot.e IS NOT NULL OR NOT (shot.s = 200 OR shot.s BETWEEN 300 AND 399)) AS bad
+  FROM shot),
+verdict AS (
+  SELECT '/data/pages/P' || page_id AS path, count(*) FILTER (WHERE bad) AS n_findings, count(*) FILTER (WHERE open) AS n_unchecked
+  FROM seen GROUP BY page_id)
+"""
+
+
+def online_validation(t: Tables) -> Validation:
+    page, url = F.col("page_id"), F.col("url")
+    link = lambda u: obj(url=quote(u), type=F.lit('"website"'))
+    text = obj(id=quote(F.concat(F.lit("P"), page)), links=arr(link(url), link(F.concat(url, F.lit("/about")))))
+    parsed = docs(t.pages.select(F.concat(F.lit("/data/pages/P"), page).alias("path"), text.alias("body")), F.col("body"), "path")
+    at = F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+    def shot(k: int, method: str, days: int, status: int | None, error: str | None = None) -> Column:
+        row = F.struct(
+            F.lit(method).alias("method"), (at - F.make_dt_interval(F.lit(days))).alias("probed_at"),
+            F.lit(status).cast("int").alias("status"), F.lit(error).cast("string").alias("error"),
+        )
+        return F.when(page % 7 == k, row)
+
+    shots = F.array_compact(F.array(
+        shot(1, "HEAD", 30, 404), shot(1, "HEAD", 3, 200), shot(2, "HEAD", 30, 200), shot(2, "HEAD", 3, 404), shot(3, "HEAD", 800, 200),
+        shot(4, "HEAD", 2, 405), shot(4, "GET", 2, 301), shot(5, "HEAD", 9, 200), shot(5, "HEAD", -9, 500), shot(6, "HEAD", 1, None, "timeout"),
+    ))
+    about = t.pages.filter(page % 5 > 0).select(
+        F.concat(url, F.lit("/about")).alias("url"), F.lit("HEAD").alias("method"), (at - F.make_dt_interval(F.lit(12))).alias("probed_at"),
+        F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"),
+    )
+    probes = t.pages.select("url", F.inline(shots)).unionByName(about)
+    return validate(parsed, probes, at=at, max_age=F.make_dt_interval(F.lit(365)))
+
+
+@query(
+    "v15_online_verdicts",
+    f"""
+    WITH {ONLINE_SQL}
+    SELECT path, n_findings, n_unchecked, CASE WHEN n_findings > 0 THEN false WHEN n_unchecked = 0 THEN true END AS valid FROM verdict
+    """,
+)
+def online_verdicts(t: Tables) -> DataFrame:
+    return online_validation(t).verdicts
+
+
+@query(
+    "v16_online_totals",
+    f"""
+    WITH {ONLINE_SQL}
+    SELECT count(*) FILTER (WHERE n_findings = 0 AND n_unchecked = 0) AS n_valid, count(*) FILTER (WHERE n_findings > 0) AS n_invalid,
+           count(*) FILTER (WHERE n_findings = 0 AND n_unchecked > 0) AS n_undecided, CAST(sum(n_unchecked) AS BIGINT) AS n_unchecked,
+           CAST(sum(n_findings) AS BIGINT) AS n_findings
+    FROM verdict
+    """,
+)
+def online_totals(t: Tables) -> DataFrame:
+    return online_validation(t).totals()
 
 
 @query(

@@ -13,7 +13,6 @@ from cartulary.operators.evolve import generate_blocks, merge_members, migrate_f
 from cartulary.operators.facets import array_facets, count_differences, facet_counts
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
-from cartulary.operators.joins import salted_join
 from cartulary.operators.membership import (
     block_algebra,
     bridge,
@@ -23,6 +22,7 @@ from cartulary.operators.membership import (
     membership_counts,
     memberships_on_days,
     overlap,
+    similar_blocks,
     with_interval,
 )
 from cartulary.operators.names import alias_table, localised_name, resolve_mentions
@@ -168,7 +168,7 @@ def page_members(t: Tables) -> DataFrame:
     r"""
     SELECT page_id AS block, member, CASE WHEN member IS NOT NULL THEN 'link' END AS type
     FROM pages LEFT JOIN (
-      SELECT page_id AS id, unnest(regexp_extract_all(html, 'href="([^"\\]*)"', 1)) AS member FROM pages) ON page_id = id
+      SELECT page_id AS id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS member FROM pages) ON page_id = id
     """,
 )
 def membership_bridge(t: Tables) -> DataFrame:
@@ -179,7 +179,7 @@ def membership_bridge(t: Tables) -> DataFrame:
     "d09_blocks_per_member",
     r"""
     SELECT member, count(DISTINCT page_id) AS n_blocks
-    FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"\\]*)"', 1)) AS member FROM pages) GROUP BY member
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS member FROM pages) GROUP BY member
     """,
 )
 def blocks_per_member(t: Tables) -> DataFrame:
@@ -300,6 +300,22 @@ def block_overlap(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "d13_similar_blocks",
+    """
+    WITH m AS (SELECT DISTINCT l_orderkey AS b, l_partkey AS p FROM lineitem),
+    n AS (SELECT b, count(*) AS n FROM m GROUP BY b),
+    s AS (SELECT x.b AS first, y.b AS second, count(*) AS n_shared FROM m x JOIN m y ON x.p = y.p AND x.b < y.b GROUP BY 1, 2)
+    SELECT first, second, f.n AS n_first, g.n AS n_second, n_shared, f.n + g.n - n_shared AS n_union
+    FROM s JOIN n f ON f.b = first JOIN n g ON g.b = second WHERE 2 * n_shared >= f.n + g.n - n_shared
+    """,
+)
+def similar_orders(t: Tables) -> DataFrame:
+    """Orders of which at least half the parts are the same."""
+    pairs = t.lineitem.select(F.col("l_orderkey").alias("block"), F.col("l_partkey").alias("member"))
+    return similar_blocks(pairs, 0.5).select("first", "second", "n_first", "n_second", "n_shared", "n_union")
+
+
 @query(
     "d14_member_merge",
     """
@@ -321,22 +337,19 @@ def member_merge(t: Tables) -> DataFrame:
         ["c_nationkey"],
     ).select(F.col("o_orderkey").alias("l_orderkey"), F.col("c_nationkey").alias("block"))
     lines = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("member")).distinct()
-    additions = salted_join(lines, orders, ["l_orderkey"], "inner").filter(F.col("block").isNotNull()).select("block", "member")
+    additions = lines.join(orders, "l_orderkey").filter(F.col("block").isNotNull()).select("block", "member")
     return merge_members(existing, additions)
 
 
 @query(
     "d15_group_generation",
     """
-    SELECT c_nationkey AS block, 1 AS part, 1 AS n_parts, count(*) AS membership_count,
-           string_agg(c_custkey || ':' || c_name, ',' ORDER BY c_custkey) AS includes
-    FROM customer GROUP BY c_nationkey
+    SELECT c_nationkey AS block, c_custkey AS member, c_name, count(*) OVER (PARTITION BY c_nationkey) AS membership_count
+    FROM customer
     """,
 )
 def group_generation(t: Tables) -> DataFrame:
-    blocks = generate_blocks(t.customer, "c_nationkey", "c_custkey", ["c_name"])
-    listed = F.transform("includes", lambda m: F.concat(m["id"], F.lit(":"), m["c_name"]))
-    return blocks.withColumn("includes", F.array_join(listed, ","))
+    return generate_blocks(t.customer, "c_nationkey", "c_custkey", ["c_name"])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartulary.operators.conform import conform, infer_schema, violations
-from cartulary.operators.drift import declared_paths, drift, observed_paths
+from cartulary.operators.drift import declared_paths, drift, nesting, observed_paths
 from cartulary.schemas import block_schema, country_schema
 
 
@@ -107,6 +107,20 @@ def test_observed_paths_count_every_member(documents):
     }
 
 
+def test_nesting_in_one_aggregate(spark, documents):
+    texts = {'"s"': 1, "{}": 1, '{"a":{}}': 2, '{"a":"[[[{{{","b":[1]}': 2, '{"q\\"[[[":["\\\\","]",[[0]]]}': 4, "[" * 40 + "]" * 40: 40}
+    for text, levels in texts.items():
+        assert nesting(documents(text), "doc") == levels, text
+    assert nesting(documents(*texts), "doc") == 40 and nesting(documents("null").limit(0), "doc") == 1
+    long = '{"a":"' + '\\"[' * 50_000 + '"}'
+    assert nesting(documents(long), "doc") == 1
+    status, group = spark.sparkContext.statusTracker(), "nesting"
+    spark.sparkContext.setJobGroup(group, group)
+    observed_paths(documents('{"a":{"b":{"c":[[1]]}}}'), "doc").collect()
+    assert len(status.getJobIdsForGroup(group)) <= 4  # an adaptive plan runs a job for each stage
+    spark.sparkContext.setJobGroup("", "")
+
+
 def test_drift_stops_at_the_depth_bound_with_the_container(documents):
     rows = observed_paths(documents('{"a":{"b":{"c":1}}}'), "doc", depth=2).collect()
     assert {(r.path, r.type) for r in rows} == {("a", "OBJECT"), ("a.b", "OBJECT")}

@@ -129,6 +129,37 @@ def test_online_findings(spark, documents):
     assert verdicts == [(3, False), (1, False), (1, False), (1, False), (0, True), (1, False), (0, True)]
 
 
+def test_the_latest_probe_up_to_the_check_counts(spark):
+    at = "2024-06-01"
+    rows = [
+        ("a", "HEAD", "2024-05-01", 404, None), ("a", "HEAD", "2024-05-02", 200, None), ("b", "HEAD", "2024-05-02", 200, None), ("b", "HEAD", "2024-05-03", 404, None),
+        ("c", "HEAD", "2020-01-01", 200, None), ("d", "HEAD", "2024-05-01", 405, None), ("d", "GET", "2024-04-01", 500, None), ("d", "GET", "2024-05-01", 200, None),
+        ("e", "HEAD", "2024-05-01", 200, None), ("e", "HEAD", "2024-07-01", 500, None), ("f", "HEAD", "2024-05-01", None, "timeout"), ("g", "HEAD", "2024-05-01", 200, None),
+        ("g", "HEAD", "2024-05-01", 404, None), ("g", "HEAD", "2024-05-01", 200, None),
+    ]
+    probes = spark.createDataFrame(rows, "url string, method string, at_text string, status int, error string").withColumn("probed_at", F.to_timestamp("at_text")).drop("at_text")
+    links = spark.createDataFrame([(u, "head_then_get") for u in "aabcdefgh"], "url string, route string")
+    now, year = F.to_timestamp(F.lit(at)), F.make_dt_interval(F.lit(365))
+    found = {r.url: (r.ok, r.problem) for r in probe_outcomes(links, probes, now, year).collect()}
+    assert found == {
+        "a": (True, None), "b": (False, "HTTP 404"), "c": (None, None), "d": (True, None), "e": (True, None),
+        "f": (False, "Request timeout"), "g": (False, "HTTP 404"), "h": (None, None),
+    }
+    assert probe_outcomes(links, probes, now, year).count() == links.count()
+    timed = links.withColumn("checked", F.when(F.col("url") == "a", F.to_timestamp(F.lit("2024-05-01 12:00:00"))).otherwise(F.to_timestamp(F.lit("2024-08-01"))))
+    later = {r.url: r.ok for r in probe_outcomes(timed, probes, F.col("checked")).collect()}
+    assert later["a"] is False and later["e"] is False and later["c"] is True
+
+
+def test_not_checked_is_not_valid(spark, documents):
+    docs = ['{"id":"%s","links":[%s]}' % (i, ",".join('{"url":"http://%s/","type":"website"}' % u for u in urls)) for i, urls in enumerate([["good"], ["good", "new"], ["bad", "new"], []])]
+    probes = spark.createDataFrame([("http://good/", "HEAD", 200, None), ("http://bad/", "HEAD", 404, None)], "url string, method string, status int, error string")
+    checked = validate(documents(*docs), probes)
+    rows = [(r.n_findings, r.n_unchecked, r.valid) for r in checked.verdicts.orderBy("path").collect()]
+    assert rows == [(0, 0, True), (0, 1, None), (1, 1, False), (0, 0, True)]
+    assert checked.totals().first().asDict() == {"n_valid": 2, "n_invalid": 1, "n_undecided": 1, "n_unchecked": 2, "n_findings": 1}
+
+
 def test_a_link_without_its_probe_is_undecided(spark):
     links = spark.createDataFrame([("http://a/", "head"), ("http://b/", "head_then_get")], "url string, route string")
     probes = spark.createDataFrame([("http://b/", "HEAD", 405, None)], "url string, method string, status int, error string")

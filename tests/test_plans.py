@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from cartulary.operators import joins
 from cartulary.operators.conform import conform
 from cartulary.plans.validate import validate
 from cartulary.schemas import block_schema
@@ -64,25 +63,27 @@ def test_declared_fields_are_pruned(documents):
     assert "headquarters" not in plan(typed).split("Project")[1].split("\n")[0]
 
 
-def test_large_sides_are_not_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+def test_sides_are_broadcast_by_their_size(spark):
+    """No plan broadcasts on a hint; beside a small dimension facts stay where they are, large sides are sorted and split."""
+    text = plan(entry.queries()["d02_code_crosswalk"](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
     try:
-        text = plan(entry.queries()["v11_entity_lookup"](spark, SF_DIR))
-        # What is left are the lists of heavy keys, bounded by their limit.
-        assert "SortMergeJoin" in text
-        assert text.count("BroadcastHashJoin") == 2
-        assert text.count("TakeOrderedAndProject(limit=1024") >= 1
+        for query in ("v11_entity_lookup", "d02_code_crosswalk", "d07_enrichment_join", "d17_duplicate_identities", "d15_group_generation"):
+            text = plan(entry.queries()[query](spark, SF_DIR))
+            assert "SortMergeJoin" in text and "Broadcast" not in text
+            assert "Limit" not in text
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.conf.unset(name)
 
 
-def test_facts_stay_in_place_beside_a_small_dimension(spark, monkeypatch):
-    text = plan(entry.queries()["d02_code_crosswalk"](spark, SF_DIR))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "_part" not in text
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
-    assert "_part" in plan(entry.queries()["d02_code_crosswalk"](spark, SF_DIR))
+@pytest.mark.parametrize(("name", "table"), [("v11_entity_lookup", "lineitem"), ("d17_duplicate_identities", "part"), ("d10_memberships_on_days", "orders")])
+def test_no_table_is_counted_before_its_join(spark, name, table):
+    scans = plan(entry.queries()[name](spark, SF_DIR)).count(f"{table}.parquet")
+    assert scans <= {"v11_entity_lookup": 1, "d17_duplicate_identities": 2, "d10_memberships_on_days": 3}[name]
 
 
 def test_duplicates_need_no_window(spark):

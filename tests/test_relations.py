@@ -8,13 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartulary.functions.dates import first_day, is_partial_date, last_day
-from cartulary.operators import joins
 from cartulary.operators.enrich import crosswalk, dangling, enrich, resolve_codes
 from cartulary.operators.evolve import generate_blocks, merge_members, migrate_field
 from cartulary.operators.facets import array_facets, count_differences
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
-from cartulary.operators.joins import heavy_keys, is_small, salted_join
 from cartulary.operators.membership import (
     block_algebra,
     bridge,
@@ -23,6 +21,8 @@ from cartulary.operators.membership import (
     members_at,
     memberships_on_days,
     overlap,
+    similar_blocks,
+    similar_pairs,
     union,
     with_interval,
 )
@@ -44,33 +44,7 @@ def skewed(spark):
     return facts, lookup
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(skewed, how):
-    facts, lookup = skewed
-    salted = salted_join(facts, lookup, ["k"], how, part_rows=50, most=3)
-    assert bag(salted) == bag(facts.join(lookup, ["k"], how))
-
-
-def test_heavy_keys_get_parts_of_even_size(spark, skewed):
-    facts, _ = skewed
-    heavy = heavy_keys(facts.filter("k is not null"), ["k"], part_rows=50, most=3).collect()
-    assert [tuple(r) for r in heavy] == [(1, 8)]
-    assert heavy_keys(facts, ["k"], part_rows=1, most=3).count() == 3
-
-
-def test_size_check(spark):
-    df = spark.range(100)
-    assert is_small(df, 100) and not is_small(df, 99) and is_small(df)
-
-
-def test_salted_join_refuses_types_that_keep_lookup_rows(skewed):
-    with pytest.raises(ValueError):
-        salted_join(*skewed, ["k"], "full")
-
-
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_enrich_keeps_unmatched(spark, skewed, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+def test_enrich_keeps_unmatched(spark, skewed):
     facts, lookup = skewed
     rows = enrich(facts, lookup.dropDuplicates(["k"]), ["k"], ["name"])
     assert rows.count() == facts.count()
@@ -158,6 +132,45 @@ def test_overlap_equals_brute_force(spark):
     assert found.count() == len(compare)
 
 
+@pytest.mark.parametrize("least", [1.0, 0.5, 0.34])
+def test_similar_blocks_equal_all_pairs(spark, least):
+    rng = random.Random(9)
+    blocks = {i: {min(int(rng.expovariate(0.05)), 60) for _ in range(rng.randint(1, 9))} for i in range(120)}
+    blocks |= {200: blocks[3], 201: set(range(40)), 202: set(range(41))}
+    rows = [(b, m) for b, ms in blocks.items() for m in ms for _ in range(rng.randint(1, 2))] + [(None, 1), (5, None)]
+    pairs = spark.createDataFrame(rows, "block long, member long")
+    found = {(r.first, r.second): (r.n_shared, r.n_union) for r in similar_blocks(pairs, least).collect()}
+    expected = {}
+    for a in blocks:
+        for b in blocks:
+            shared, total = len(blocks[a] & blocks[b]), len(blocks[a] | blocks[b])
+            if a < b and shared >= least * total:
+                expected[a, b] = (shared, total)
+    assert found == expected
+
+
+def test_few_pairs_are_candidates(spark):
+    """A member that all blocks have makes no candidates: 400 blocks would give 79,800 pairs."""
+    rows = [(b, m) for b in range(400) for m in (-1, 10 * b, 10 * b + 1, 10 * b + 2, 10 * (b // 2) + 7)]
+    pairs = spark.createDataFrame(rows, "block long, member long")
+    assert similar_pairs(pairs, 0.6).count() <= 400
+
+
+def test_days_and_intervals_do_not_multiply(spark):
+    """A member with 3,650 days and 200 intervals of some days, two of them open: rows meet within their year only."""
+    days = spark.range(3650).selectExpr("1 AS m", "date_add(DATE '2000-01-01', CAST(id AS INT)) AS day", "id").repartition(4)
+    rows = [(1, i, date(2000 + i % 10, 1 + i % 12, 1), date(2000 + i % 10, 1 + i % 12, 9)) for i in range(198)]
+    rows += [(1, 198, date(1, 1, 1), date(2001, 6, 30)), (1, 199, date(2008, 2, 1), date(9999, 12, 31)), (1, 200, date(1990, 1, 1), date(1990, 2, 1)), (1, 201, None, None)]
+    intervals = spark.createDataFrame(rows, "m long, i int, valid_from date, valid_to date")
+    found = memberships_on_days(days, intervals, "m", "day")
+    expected = sum(max(0, (min(to, date(2009, 12, 28)) - max(start, date(2000, 1, 1))).days + 1) for _, _, start, to in rows if start)
+    assert found.count() == expected
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_year" in text and "CartesianProduct" not in text
+    met = days.withColumn("y", F.year("day")).join(intervals.withColumn("y", F.explode(F.expr("CASE WHEN greatest(year(valid_from), 2000) <= least(year(valid_to), 2009) THEN sequence(greatest(year(valid_from), 2000), least(year(valid_to), 2009)) END"))), ["m", "y"]).count()
+    assert met < 3650 * 202 / 8
+
+
 def test_edges_and_missing_reverse(spark):
     df = spark.createDataFrame([("a", ["b", "c", "c"]), ("b", ["a"]), ("c", None)], "n string, borders array<string>")
     edge = edges(df, "n", "borders")
@@ -234,16 +247,14 @@ def test_merge_is_idempotent(spark):
     assert merge_members(once.drop("added"), more).filter("added").count() == 0
 
 
-def test_large_blocks_come_in_parts_that_hold_every_member(spark):
-    df = spark.range(1000).select(F.col("id").alias("m"), F.when(F.col("id") < 900, "hot").otherwise("cold").alias("g"))
-    blocks = generate_blocks(df, "g", "m", chunk=100).collect()
-    members = {}
-    for b in blocks:
-        ids = [e.id for e in b.includes]
-        assert ids == sorted(ids) and len(ids) < 300
-        members.setdefault(b.block, []).extend(ids)
-    assert sorted(members["hot"]) == list(range(900)) and sorted(members["cold"]) == list(range(900, 1000))
-    assert {b.n_parts for b in blocks if b.block == "hot"} == {9} and {b.membership_count for b in blocks} == {900, 100}
+def test_generated_blocks_hold_every_member_at_any_size(spark):
+    rows = spark.range(20_001).selectExpr("'big' AS region", "id AS code", "id % 3 AS x").unionByName(
+        spark.createDataFrame([("small", 1, 0), (None, 2, 0), ("small", 1, 0)], "region string, code long, x long")
+    )
+    blocks = generate_blocks(rows, "region", "code", ["x"])
+    assert blocks.columns == ["block", "member", "x", "membership_count"]
+    counts = {r.block: (r.n, r.m, r.c) for r in blocks.groupBy("block").agg(F.count("*").alias("n"), F.max("membership_count").alias("m"), F.countDistinct("member").alias("c")).collect()}
+    assert counts == {"big": (20_001, 20_001, 20_001), "small": (2, 2, 1)}
 
 
 def test_field_migration(documents):
