@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartulary.functions.variants import kind
+from cartulary.session import enable_checkpoints
+
+FIRST_DEPTH = 4
 
 
 def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
@@ -26,32 +29,31 @@ def declared_paths(dtype: T.DataType, path: str = "") -> list[str]:
     return []
 
 
-def nesting(df: DataFrame, doc: str) -> int:
-    """Levels of members below the documents of ``df``, in one aggregate.
+def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFrame:
+    """``path, type, n`` over all documents and levels, in one scan with map-side counts.
 
-    Of a document's JSON text only the brackets outside strings are looked at: the deepest
-    place is where most are open.
+    With a ``depth`` a container there is itself reported, its content is not. Without, levels
+    are unfolded until nothing is cut off: ``FIRST_DEPTH`` of them, then twice as many, so that
+    documents of usual depth are read once, and of depth d about log2(d / FIRST_DEPTH) times more.
+    The counts, a row for each path and type, are then written to the checkpoint folder.
     """
-    bare = F.regexp_replace(F.regexp_replace(F.to_json(F.col(doc)), r"\\.", ""), '"[^"]*+"', "")
-    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
-
-    def step(state: Column, bracket: Column) -> Column:
-        now = state["open"] + F.when(bracket.isin("{", "["), 1).otherwise(-1)
-        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
+    if depth is not None:
+        return _paths(df, doc, depth).drop("cut")
+    enable_checkpoints(df.sparkSession)
+    depth = FIRST_DEPTH
+    while True:
+        found = _paths(df, doc, depth).checkpoint()
+        if not found.agg(F.max("cut")).first()[0]:
+            return found.drop("cut")
+        depth *= 2
 
-    deepest = F.aggregate(F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), F.lit(0)), start, step, lambda state: state["most"])
-    return max(df.agg(F.max(deepest)).first()[0] or 0, 1)
 
-
-def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFrame:
-    """``path, type, n`` over all documents and levels, in one scan with map-side counts.
+def _paths(df: DataFrame, doc: str, depth: int) -> DataFrame:
+    """``path, type, n, cut``: counts to a depth, and whether a container stood there.
 
     Every level unfolds the members of the level above, so that a row is a leaf with the
-    path that leads to it. A container is counted on the row of its first descendant. The
-    number of levels is found first, by one aggregate at any depth, unless the caller sets a ``depth``: a
-    container there is itself reported, its content is not.
+    path that leads to it. A container is counted on the row of its first descendant.
     """
-    depth = nesting(df, doc) if depth is None else depth
     unfold = df.sparkSession.tvf.variant_explode_outer
     rows = df.select(F.lit("").alias("_path_0"), F.col(doc).alias("_value_0"))
     for n in range(1, depth + 1):
@@ -75,10 +77,11 @@ def observed_paths(df: DataFrame, doc: str, depth: int | None = None) -> DataFra
             below, key = F.col(f"_pos_{n + 1}"), F.col(f"_key_{n + 1}")
             kind_here = F.when(below.isNull(), kind_here).when(key.isNull(), "ARRAY").otherwise("OBJECT")
         seen = F.col(f"_path_{n}").isNotNull() & first
-        entries.append(F.when(seen, F.struct(F.col(f"_path_{n}").alias("path"), kind_here.alias("type"))))
+        cut = kind_here.isin("OBJECT", "ARRAY") if n == depth else F.lit(False)
+        entries.append(F.when(seen, F.struct(F.col(f"_path_{n}").alias("path"), kind_here.alias("type"), cut.alias("cut"))))
         first = first & (F.coalesce(f"_pos_{n}", F.lit(0)) == 0)
     found = rows.select(F.inline(F.array(*entries))).filter(F.col("path").isNotNull())
-    return found.groupBy("path", "type").agg(F.count("*").alias("n"))
+    return found.groupBy("path", "type").agg(F.count("*").alias("n"), F.max("cut").alias("cut"))
 
 
 def drift(df: DataFrame, doc: str, schema: T.StructType, depth: int | None = None) -> DataFrame:

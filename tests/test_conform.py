@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartulary.operators.conform import conform, infer_schema, violations
-from cartulary.operators.drift import declared_paths, drift, nesting, observed_paths
+from cartulary.operators import drift as drift_module
+from cartulary.operators.drift import declared_paths, drift, observed_paths
 from cartulary.schemas import block_schema, country_schema
 
 
@@ -107,18 +108,16 @@ def test_observed_paths_count_every_member(documents):
     }
 
 
-def test_nesting_in_one_aggregate(spark, documents):
-    texts = {'"s"': 1, "{}": 1, '{"a":{}}': 2, '{"a":"[[[{{{","b":[1]}': 2, '{"q\\"[[[":["\\\\","]",[[0]]]}': 4, "[" * 40 + "]" * 40: 40}
-    for text, levels in texts.items():
-        assert nesting(documents(text), "doc") == levels, text
-    assert nesting(documents(*texts), "doc") == 40 and nesting(documents("null").limit(0), "doc") == 1
-    long = '{"a":"' + '\\"[' * 50_000 + '"}'
-    assert nesting(documents(long), "doc") == 1
-    status, group = spark.sparkContext.statusTracker(), "nesting"
-    spark.sparkContext.setJobGroup(group, group)
-    observed_paths(documents('{"a":{"b":{"c":[[1]]}}}'), "doc").collect()
-    assert len(status.getJobIdsForGroup(group)) <= 4  # an adaptive plan runs a job for each stage
-    spark.sparkContext.setJobGroup("", "")
+@pytest.mark.parametrize("levels", [1, 4, 5, 9])
+def test_drift_reads_no_deeper_than_needed(spark, documents, monkeypatch, levels):
+    text = "1"
+    for i in range(levels, 0, -1):
+        text = '{"k%d":%s}' % (i, text) if i % 2 else "[%s]" % text
+    depths, real = [], drift_module._paths
+    monkeypatch.setattr(drift_module, "_paths", lambda df, doc, depth: depths.append(depth) or real(df, doc, depth))
+    rows = {(r.path, r.type): r.n for r in observed_paths(documents(text, "{}"), "doc").collect()}
+    assert depths == [4, 8, 16][: len(depths)] and len(depths) == 1 + (levels > 4) + (levels > 8)
+    assert len(rows) == levels and rows == {(r.path, r.type): r.n for r in observed_paths(documents(text, "{}"), "doc", 12).collect()}
 
 
 def test_drift_stops_at_the_depth_bound_with_the_container(documents):

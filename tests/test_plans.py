@@ -92,7 +92,7 @@ def test_duplicates_need_no_window(spark):
 
 
 def test_counts_combine_before_the_shuffle(spark):
-    for name in ("d04_array_facets", "v17_finding_histogram", "s12_drift_report", "r05_source_census"):
+    for name in ("d04_array_facets", "v17_finding_histogram", "r05_source_census"):
         text = plan(entry.queries()[name](spark, SF_DIR))
         assert "partial_count" in text
 
