@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.llm.anchors import pick_anchors
-from cartulary.llm.arrays import U64, powers, ragged, slices, text_bytes
+from cartulary.llm.arrays import U64, mix, powers, ragged, slices, text_bytes
 from cartulary.llm.shared import SALT_BYTES, partitions, store, text_size
 
 BUCKET_BYTES = 8_000_000
@@ -72,13 +72,20 @@ def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(values)))
 
 
+def bucket_of(prints: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each fingerprint, out of any number of them, and 48 bits to tell those of a bucket apart."""
+    scrambled = mix(prints)
+    return scrambled % U64(buckets), scrambled // U64(buckets) & _LOW48
+
+
 def _emit_anchors(sequences: Sequences, window: int, gram: int, buckets: int):
     def emit(held: list[tuple]) -> Iterator[dict]:
         docs, salts = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
         base = np.cumsum([0] + [len(h[0]) for h in held])
         refs = np.concatenate([h[2] + b for h, b in zip(held, base[:-1], strict=True)])
         first, run, prints, contexts = (np.concatenate([h[i] for h in held]) for i in range(3, 7))
-        bucket = (prints >> U64(48)) % U64(buckets)
+        # bucket and the rest make up the whole fingerprint, or 48 bits and those of the bucket while there are few
+        bucket, prints = bucket_of(prints, buckets)
         order = np.argsort(bucket, kind="stable")
         starts, sizes = grouped(bucket[order])
         for start, size in zip(starts, sizes, strict=True):

@@ -6,8 +6,11 @@ one path for each blob, drops the pairs that are in the ledger, scans the rest,
 findings, old and new, back to all paths. A blob that a third of all paths share is scanned once.
 
 Spans come from the text between matches: it is split by the rule, and the lengths of gaps and
-matches add up to positions in code points. A match that fails the rule's length is dropped
-but uses up its text.
+matches add up to positions in code points, ``BLOCK`` matches at a time, so that no list is copied for
+each of them. A match that fails the rule's length is dropped but uses up its text. Patterns are
+linear in the text: what may be long starts only where its run of characters starts, and gives nothing back.
+
+A row whose text holds no hint of any rule has no findings and takes no part in the join back.
 
 Results for odd input: null or empty text is the empty blob and has no findings; null ids are
 carried; rows of one id and repeated rows each get the findings of their own text; other
@@ -21,6 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartulary.functions.variants import let
 from cartulary.llm.shared import NO_ID, keyed, partitions, read, store
 
 FINDINGS = "array<struct<start:int,place:int,kind:string,stop:int>>"
@@ -44,12 +48,13 @@ RULES = [
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}", 0, 16, r"AKIA[A-Z0-9]{12}"),
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32, r"[0-9a-f]{32}"),
     Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, r"PRIVATE KEY"),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 24, r"eyJ"),
+    Rule("web_token", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 0, 24, r"eyJ"),
     Rule("host_token", 1, r"gh[opsur]_[A-Za-z0-9]+", 0, 40, r"gh[opsur]_"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@", 0, 0, r"://[^\s:/@]+:[^\s:/@]+@"),
+    Rule("url_login", 2, r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*+://[^\s:/@]++:[^\s:/@]++@", 0, 0, r"://[^\s:/@]++:[^\s:/@]++@"),
 ]
 BASE = ["assign", "access", "hex"]
-
+# Matches whose positions are summed up in one list.
+BLOCK = 512
 
 
 def find(rule: Rule, place: int) -> Column:
@@ -60,14 +65,25 @@ def find(rule: Rule, place: int) -> Column:
     matches = F.arrays_zip(gaps.alias("gap"), F.transform(whole, lambda x: F.length(x)).alias("size"), F.transform(tested, lambda x: F.length(x)).alias("tested"))
     empty = F.struct(F.lit(0).alias("end"), F.array().cast(FINDINGS).alias("found"))
 
+    def row(start: Column, stop: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), stop.alias("stop"))
+
     def step(done: Column, m: Column) -> Column:
         start = done["end"] + m["gap"]
         stop = start + F.coalesce(m["size"], F.lit(0))
-        row = F.struct(start.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), stop.alias("stop"))
-        found = F.when(m["tested"] >= rule.least, F.concat(done["found"], F.array(row))).otherwise(done["found"])
+        found = F.when(m["tested"] >= rule.least, F.concat(done["found"], F.array(row(start, stop)))).otherwise(done["found"])
         return F.struct(stop.alias("end"), found.alias("found"))
 
-    every = F.aggregate(matches, empty, step, lambda done: done["found"])
+    def shift(done: Column, block: Column) -> Column:
+        moved = F.transform(block["found"], lambda x: row(x["start"] + done["end"], x["stop"] + done["end"]))
+        return F.struct((done["end"] + block["end"]).alias("end"), F.concat(done["found"], moved).alias("found"))
+
+    def summed(m: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(m) - 1, F.lit(BLOCK))
+        return F.transform(starts, lambda i: F.aggregate(F.slice(m, i + 1, BLOCK), empty, step))
+
+    # bound once: within a lambda the text would be matched anew for each block
+    every = F.aggregate(let(matches, summed), empty, shift, lambda done: done["found"])
     return F.when(F.col("text").rlike(rule.hint), every).otherwise(F.array().cast(FINDINGS))
 
 
@@ -79,7 +95,8 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: list[Rule] | N
     """
     rules = RULES if rules is None else rules
     spark = docs.sparkSession
-    paths = store(docs.select("doc", "salt", F.sha2("text", 256).alias("blob")), "paths")
+    hinted = F.greatest(*[F.col("text").rlike(r.hint) for r in rules], F.lit(False))
+    paths = store(docs.select("doc", "salt", F.sha2("text", 256).alias("blob"), hinted.alias("hinted")), "paths")
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
     blobs = paths.groupBy("blob").agg(F.min(F.struct("doc", "salt")).alias("home"))
     if ledger is None:
@@ -100,8 +117,9 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: list[Rule] | N
     now = fresh if ledger is None else ledger.select(fresh.columns).unionByName(fresh)
     current = F.array_contains(wanted, F.struct("kind", "version"))
     found = now.where(current).where(F.size("findings") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
-    joined = paths.select("doc", "blob").join(found, "blob", "left")
-    return joined.withColumn("findings", F.coalesce("findings", F.array().cast(FINDINGS))), now
+    none = F.array().cast(FINDINGS)
+    joined = paths.where("hinted").select("doc", "blob").join(found, "blob", "left").select("doc", "blob", F.coalesce("findings", none).alias("findings"))
+    return joined.unionByName(paths.where("NOT hinted").select("doc", "blob", none.alias("findings"))), now
 
 
 def of_kinds(kinds: list[str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from cartulary.llm import secret_scan as s
 from cartulary.llm.shared import keyed
@@ -53,6 +54,34 @@ def test_made_and_odd(docs, odd, nothing):
     assert plain.count() == odd.count() and s.scan(keyed(nothing))[0].count() == 0
 
 
+def test_worst_texts_take_linear_time(spark, docs):
+    """A megabyte in the worst shape of each rule, and 100,000 findings in one text."""
+    n = 1_000_000
+    worst = [
+        "a" * n + " http://u:p@h", "eyJ" * (n // 3), "eyJa." * (n // 5), "a://" * (n // 4), "a://b:" * (n // 6), "-----BEGIN " + "A" * n, "-----BEGIN A" * (n // 12),
+        "secret" + " " * n, "secret =" + " " * n, "AKIA" * (n // 4), ("f" * 31 + "g") * (n // 32), "ghp_" * (n // 4), "token='" * (n // 7), "+.-" * (n // 3) + "://a:b@",
+    ]
+    many = "token=abcdefgh " * 100_000
+    table = keyed(docs(*enumerate([*worst, many]))).repartition(8).cache()
+    table.count()
+    s.scan(table.where("doc < 2"))[0].count()  # code is compiled
+    start = time.time()
+    found = {r.doc: r.n for r in s.scan(table)[0].select("doc", s.F.size("findings").alias("n")).collect()}
+    assert time.time() - start < 30
+    assert found[len(worst)] == 100_000 and found[0] == 2 and found[13] == 0
+    spans = s.scan(table.where(f"doc = {len(worst)}"))[0].select(s.spans().alias("spans")).first()[0].split(",")
+    assert spans[:2] == ["assign:0:14", "assign:15:29"] and spans[-1] == f"assign:{15 * 99_999}:{15 * 99_999 + 14}"
+
+
+def test_nothing_is_scanned_twice(spark, docs):
+    table = keyed(docs(*enumerate(TEXTS), (99, None), (100, "clean"), (None, TEXTS[0])))
+    found, ledger = s.scan(table)
+    again, now = s.scan(table, ledger)
+    assert now.count() == ledger.count() == (len(TEXTS) + 2) * len(s.RULES)
+    key = lambda df: sorted((str(r.doc), r.spans) for r in df.select("doc", s.spans().alias("spans")).collect())
+    assert key(again) == key(found)
+
+
 def test_ledger_is_incremental(spark, docs):
     old = docs((1, TEXTS[0]), (2, TEXTS[0]), (3, "clean"))
     _, ledger = s.scan(keyed(old), rules=s.RULES[:2])

@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 
+from cartulary.llm import repeats
 from cartulary.llm.anchors import pick_anchors
 from cartulary.llm.arrays import BYTE_VALUES
 from cartulary.llm.substring_dedup import op1_substring_dedup, substring_dedup
@@ -122,3 +123,11 @@ def test_every_window_has_its_anchor():
     windows = [w for a, b in zip(found.first, found.last, strict=True) for w in range(a, b + 1)]
     assert windows == [w for a, b in zip(offsets[:-1], offsets[1:], strict=True) for w in range(a, b - 49)]
     assert ((found.at >= found.last) & (found.at <= found.first + 34)).all()
+
+
+def test_buckets_are_as_many_as_asked():
+    """A million buckets are all in use, and bucket and rest tell all fingerprints apart."""
+    prints = np.random.default_rng(3).integers(0, 1 << 63, 4_000_000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    bucket, rest = repeats.bucket_of(prints, 1_000_000)
+    assert len(np.unique(bucket)) > 950_000 and np.bincount(bucket.astype(np.int64)).max() < 40
+    assert len(np.unique(bucket * np.uint64(1 << 44) + rest)) == len(np.unique(prints)) and int(rest.max()) < 1 << 48
