@@ -6,6 +6,7 @@ rules of a set run in one projection over one scan, and only broken places leave
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from cartulary.functions.text import well_formed_url
 from cartulary.functions.variants import (
     as_elements,
+    as_members,
     as_text,
     field,
     is_array,
@@ -23,6 +25,7 @@ from cartulary.functions.variants import (
     is_number,
     is_object,
     is_string,
+    let,
 )
 
 PLACE = "struct<rule:string,path:string,position:int,value:string>"
@@ -121,36 +124,64 @@ def uri(path: str) -> Constraint:
     return Constraint("uri", path, lambda v: is_string(v) & ~well_formed_url(as_text(v)))
 
 
-def _places(value: Column, steps: Sequence[str], constraint: Constraint, position: Column | None) -> Column:
+@dataclass
+class _Rules:
+    """The constraints of one place, and of the places below it."""
+
+    here: list[Constraint]
+    members: dict[str, _Rules]
+    items: _Rules | None = None
+
+
+def _tree(constraints: Sequence[Constraint]) -> _Rules:
+    root = _Rules([], {})
+    for c in constraints:
+        node = root
+        for step in re.findall(r"\[\]|[^.\[\]]+", c.path):
+            if step == "[]":
+                node.items = node.items or _Rules([], {})
+                node = node.items
+            else:
+                node = node.members.setdefault(step, _Rules([], {}))
+        node.here.append(c)
+    return root
+
+
+def _places(value: Column, rules: _Rules, position: Column | None) -> Column:
+    """array<PLACE> of all rules from here down; the value is taken apart once, a list opened once."""
     none = F.array().cast(f"array<{PLACE}>")
-    if not steps:
+
+    def report(c: Constraint, v: Column) -> Column:
         row = F.struct(
-            F.lit(constraint.rule).alias("rule"),
-            F.lit(constraint.path if constraint.label is None else constraint.label).alias("path"),
+            F.lit(c.rule).alias("rule"),
+            F.lit(c.path if c.label is None else c.label).alias("path"),
             (F.lit(None) if position is None else position).cast("int").alias("position"),
-            as_text(value).alias("value") if constraint.label is None else F.lit(None).cast("string").alias("value"),
+            as_text(v).alias("value") if c.label is None else F.lit(None).cast("string").alias("value"),
         )
-        return F.when(constraint.broken(value), F.array(row.cast(PLACE))).otherwise(none)
-    head, rest = steps[0], steps[1:]
-    if not head.endswith("[]"):
-        return _places(field(value, head), rest, constraint, position)
-    items = as_elements(field(value, head[:-2]) if head != "[]" else value)
-    inner = F.transform(
-        items, lambda e, i: _places(e, rest, constraint, i + 1 if position is None else position)
-    )
-    return F.coalesce(F.flatten(inner), none)
+        return F.when(c.broken(v), row.cast(PLACE))
+
+    def at(v: Column) -> Column:
+        parts = [F.array_compact(F.array(*[report(c, v) for c in rules.here]))] if rules.here else []
+        if rules.members:
+            of_members = lambda m: F.concat(*[_places(m[name], below, position) for name, below in rules.members.items()])
+            parts.append(let(as_members(v, rules.members), of_members))
+        if rules.items is not None:
+            below = lambda e, i: _places(e, rules.items, i + 1 if position is None else position)
+            parts.append(F.coalesce(F.flatten(F.transform(as_elements(v), below)), none))
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+    return at(value)
 
 
 def check_constraints(df: DataFrame, doc: str, constraints: Sequence[Constraint], keep: Sequence[str]) -> DataFrame:
     """``keep`` + ``rule, path, position, value``: one row per broken place.
 
-    ``position`` is the 1-based index in the outermost list of the path.
+    ``position`` is the 1-based index in the outermost list of the path. Constraints are gathered
+    by their paths, so that a list is opened once however many rules look into it.
     """
-    parts = []
-    for c in constraints:
-        steps = [s for s in c.path.split(".") if s]
-        parts.append(_places(F.col(doc), steps, c, None))
-    return df.select(*keep, F.inline(F.concat(*parts)))
+    if not constraints:
+        raise ValueError("no constraints")
+    return df.select(*keep, F.inline(_places(F.col(doc), _tree(constraints), None)))
 
 
 def _accepts(schema: dict) -> Callable[[Column], Column]:

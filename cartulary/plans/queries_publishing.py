@@ -18,7 +18,9 @@ from cartulary.plans.registry import Tables, arr, obj, query, quote
 from cartulary.schemas import block_schema
 from cartulary.session import scratch_path
 from cartulary.sinks.publish import (
+    merge_published,
     publish,
+    publish_members,
     published_counts,
     row_counts,
     write_json_lines,
@@ -194,3 +196,42 @@ def document_files(t: Tables) -> DataFrame:
         F.regexp_extract("path", "([0-9]+)[.]json$", 1).cast("bigint").alias("k"), fate.alias("fate"), "error",
         F.when(fate == "good", as_text(field(F.col("doc"), "name"))).alias("name"),
     )
+
+
+@query(
+    "r25_bucketed_join",
+    """
+    SELECT o_orderpriority, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1
+    """,
+)
+def bucketed_join(t: Tables) -> DataFrame:
+    """Two published tables of one layout meet without moving a row."""
+    orders, lines = published_buckets(t)
+    joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
+    return joined.groupBy("o_orderpriority").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+
+
+def published_buckets(t: Tables, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        table = f"cartulary_by_order_{name}"
+        write_table(getattr(t, name), table, scratch_path(t.spark, table), buckets, [key])
+    return t.spark.table("cartulary_by_order_orders"), t.spark.table("cartulary_by_order_lineitem")
+
+
+@query(
+    "d14_published_merge",
+    """
+    SELECT s_nationkey AS block, s_suppkey AS member FROM supplier
+    UNION SELECT c_nationkey, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
+    """,
+)
+def published_merge(t: Tables) -> DataFrame:
+    """Suppliers as members, published; customers merged in, twice; the table as read back."""
+    path = scratch_path(t.spark, "members")
+    publish_members(t.supplier.select(F.col("s_nationkey").alias("block"), F.col("s_suppkey").alias("member")), path)
+    more = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_nationkey").alias("block"), F.col("c_custkey").alias("member"))
+    merge_published(t.spark, path, more)
+    if merge_published(t.spark, path, more):
+        raise AssertionError("a merge that is run again must find nothing to add")
+    return t.spark.read.parquet(path).select("block", "member")

@@ -10,7 +10,7 @@ from cartulary.functions.variants import as_elements, as_text, field
 from cartulary.operators.conform import conform
 from cartulary.operators.enrich import crosswalk, dangling, enrich, resolve_codes
 from cartulary.operators.evolve import generate_blocks, merge_members, migrate_field
-from cartulary.operators.facets import array_facets, count_differences, facet_counts
+from cartulary.operators.facets import daily_sketches, facets_between, array_facets, count_differences, facet_counts
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
 from cartulary.operators.membership import (
@@ -82,6 +82,22 @@ def word_facets(t: Tables) -> DataFrame:
     return array_facets(t.documents, words)
 
 
+@query(
+    "d04_facet_sketches",
+    """
+    SELECT event_type AS facet, count(*) AS n, true AS within_bound FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1
+    """,
+)
+def facet_sketches(t: Tables) -> DataFrame:
+    """Events and different users of each type over some days, from daily sketches; estimates are held against exact counts."""
+    day, first, last = F.to_date("ts"), F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date")
+    merged = facets_between(daily_sketches(t.events, "event_type", day, "user_id"), first, last)
+    exact = t.events.filter((day >= first) & (day <= last)).groupBy(F.col("event_type").alias("facet")).agg(F.countDistinct("user_id").alias("users"))
+    bound = F.abs(F.col("n_entities") - F.col("users")) <= 0.03 * F.col("users") + 1
+    return merged.join(exact, "facet").select("facet", "n", bound.alias("within_bound"))
+
+
 @query(
     "d05_declared_count",
     "SELECT p_partkey, CAST(p_size AS BIGINT) AS declared, CAST(2 AS BIGINT) AS actual FROM part WHERE p_size <> 2",

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Columns are made by the hundred here; a stack trace for each takes longer than planning them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

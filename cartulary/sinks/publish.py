@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from cartulary.session import enable_checkpoints
+
 FORMATS = ("jsonl", "parquet", "table")
 ZSTD_LEVEL = 3
 ARCHIVE_ZSTD_LEVEL = 22
@@ -39,10 +42,19 @@ def write_parquet(df: DataFrame, path: str, level: int = ZSTD_LEVEL, partition_b
     writer.parquet(path)
 
 
-def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Drop and recreate a catalog table, at ``path`` if given."""
+def write_table(df: DataFrame, name: str, path: str | None = None, buckets: int | None = None, by: Sequence[str] = ()) -> None:
+    """Drop and recreate a catalog table, at ``path`` if given.
+
+    With ``buckets`` it is laid out by the hash of the columns ``by`` and sorted by them: tables of one
+    layout are joined and grouped on these columns without an exchange. Rows go to their
+    bucket first, so that each has one file.
+    """
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    if buckets is not None:
+        df = df.repartition(buckets, *by)
     writer = df.write.mode("overwrite").format("parquet")
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, *by).sortBy(*by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -112,3 +124,37 @@ def published_counts(spark: SparkSession, names: Sequence[str], output: str, for
         one = row_counts({name: readers[fmt](name) for name in names}).withColumn("format", F.lit(fmt))
         counted = one if counted is None else counted.unionByName(one)
     return counted
+
+
+SHARE = "share"
+
+
+def _shared(df: DataFrame, key: str, shares: int) -> DataFrame:
+    return df.withColumn(SHARE, F.pmod(F.xxhash64(key), F.lit(shares)).cast("int"))
+
+
+def publish_members(pairs: DataFrame, path: str, block: str = "block", shares: int = 64) -> None:
+    """A table of members in ``shares`` partitions by a hash of the block, which ``merge_published`` rewrites one by one."""
+    _shared(pairs, block, shares).repartition(shares, SHARE).write.mode("overwrite").partitionBy(SHARE).parquet(path)
+
+
+def merge_published(spark: SparkSession, path: str, additions: DataFrame, block: str = "block", member: str = "member", shares: int = 64) -> int:
+    """Add the pairs that a published table of members lacks; returns how many.
+
+    Only partitions that get new pairs are read as a whole and replaced. What they will hold is written to
+    the checkpoint folder before anything is replaced, and pairs already there are no news: running
+    it again, also after a failure, adds what is missing and changes no file where nothing is.
+    ``shares`` is that of ``publish_members``.
+    """
+    enable_checkpoints(spark)
+    schema = additions.select(block, member).schema.add(SHARE, T.IntegerType())
+    held = spark.read.schema(schema).parquet(path)
+    asked = _shared(additions.select(block, member).distinct(), block, shares)
+    news = asked.join(held, [block, member, SHARE], "left_anti").checkpoint()
+    counted = news.groupBy(SHARE).count().collect()  # at most a row for each share
+    if counted:
+        touched = [r[SHARE] for r in counted]
+        whole = held.filter(F.col(SHARE).isin(touched)).unionByName(news).checkpoint()
+        writer = whole.repartition(len(touched), SHARE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(SHARE).parquet(path)
+    return sum(r["count"] for r in counted)

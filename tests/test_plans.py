@@ -10,7 +10,7 @@ from cartulary.plans.validate import validate
 from cartulary.schemas import block_schema
 
 SF_DIR = "/root/testdata/sf0.001"
-SINKS = {"r23_json_lines_sink", "r24_parquet_sink", "r25_relational_publish", "r26_publish_plan", "r26_build_accounts", "r01_document_files"}
+SINKS = {"r23_json_lines_sink", "r24_parquet_sink", "r25_relational_publish", "r26_publish_plan", "r26_build_accounts", "r01_document_files", "r25_bucketed_join", "d14_published_merge"}
 ROW_LOCAL = [
     "r01_document_scan", "r02_bad_document_isolation", "r03_empty_document_drop", "r04_list_document_scan",
     "r06_boolean_token", "r07_empty_for_null", "r08_text_list", "r09_struct_list_fields", "r09n_null_list",

@@ -10,7 +10,7 @@ from cartulary.operators.findings import totals
 from cartulary.plans.build import build, build_dataset
 from cartulary.schemas import block_schema
 from cartulary.session import scratch_path, shared_folder
-from cartulary.sinks.publish import parse_formats, publish, published_counts, write_json_lines, write_parquet, write_table
+from cartulary.sinks.publish import merge_published, parse_formats, publish, publish_members, published_counts, write_json_lines, write_parquet, write_table
 from cartulary.streaming.ingest import ingest, stream_json_lines
 
 pytest.importorskip("yaml")
@@ -128,6 +128,38 @@ def test_dataset_stages_add_up(documents):
     assert place[1:4] == ("membership_count", None, "long")
 
 
+def test_tables_of_one_layout_join_without_an_exchange(spark, tmp_path):
+    """The bridge of blocks and members against members' names, both published by member."""
+    pairs = spark.range(3000).selectExpr("id % 50 AS block", "id % 700 AS member")
+    names = spark.range(700).selectExpr("id AS member", "concat('m', id) AS name")
+    write_table(pairs, "cartulary_bridge", str(tmp_path / "bridge"), 4, ["member"])
+    write_table(names, "cartulary_names", str(tmp_path / "names"), 4, ["member"])
+    joined = spark.table("cartulary_bridge").join(spark.table("cartulary_names").hint("merge"), "member")
+    for df in (joined, joined.groupBy("member").count()):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 3000
+    assert len(list((tmp_path / "bridge").glob("part-*"))) == 4
+
+
+def test_merging_again_changes_no_file(spark, tmp_path):
+    path = str(tmp_path / "members")
+    old = spark.range(500).selectExpr("id % 40 AS block", "id AS member")
+    publish_members(old, path, shares=16)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "members").rglob("part-*")}
+
+    before = files()
+    more = spark.createDataFrame([(3, 3), (3, 9000), (3, 9000), (77, 1)], "block long, member long")
+    assert merge_published(spark, path, more, shares=16) == 2
+    after = files()
+    touched = {p.split("share=")[1].split("/")[0] for p in before.keys() ^ after.keys()}
+    assert 1 <= len(touched) <= 2
+    rows = sorted(map(tuple, spark.read.parquet(path).select("block", "member").collect()))
+    assert rows == sorted([*map(tuple, old.collect()), (3, 9000), (77, 1)])
+    assert merge_published(spark, path, more, shares=16) == 0 and files() == after
+
+
 def test_stream_of_documents(spark, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     source.mkdir()

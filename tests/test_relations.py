@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cartulary.functions.dates import first_day, is_partial_date, last_day
 from cartulary.operators.enrich import crosswalk, dangling, enrich, resolve_codes
 from cartulary.operators.evolve import generate_blocks, merge_members, migrate_field
-from cartulary.operators.facets import array_facets, count_differences
+from cartulary.operators.facets import array_facets, count_differences, daily_sketches, facets_between
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
 from cartulary.operators.membership import (
@@ -234,6 +234,19 @@ def test_array_facets(spark):
     assert bag(array_facets(df, F.col("tags"))) == Counter([("a", 3, 2), ("b", 1, 1), (None, 1, 1)])
 
 
+def test_daily_sketches_are_united(spark):
+    """Days stored one by one give the same as all days at once, within the sketch's error of exact counts."""
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('f', id % 7) END AS facet", "date_add(DATE '2024-01-01', CAST(id % 10 AS INT)) AS day", "id * 7919 % 20000 AS user")
+    stored = daily_sketches(rows, "facet", F.col("day"), "user")
+    first, last = F.lit("2024-01-02").cast("date"), F.lit("2024-01-06").cast("date")
+    found = {r.facet: (r.n, r.n_entities) for r in facets_between(stored, first, last).collect()}
+    exact = {r.facet: (r.n, r.u) for r in rows.filter(F.col("day").between(first, last)).groupBy("facet").agg(F.count("*").alias("n"), F.countDistinct("user").alias("u")).collect()}
+    assert found.keys() == exact.keys()
+    for facet, (n, users) in exact.items():
+        assert found[facet][0] == n and abs(found[facet][1] - users) <= 0.03 * users
+    assert stored.agg(F.max(F.length("entities"))).first()[0] < 40_000
+
+
 def test_count_differences(spark):
     df = spark.createDataFrame([(1, 2, [1, 2]), (2, 3, [1]), (3, 1, None), (4, None, [1])], "i int, n int, m array<int>")
     assert bag(count_differences(df, ["i"], F.col("n"), F.col("m"))) == Counter([(2, 3, 1), (3, 1, 0)])

@@ -23,7 +23,7 @@ from cartulary.sources.documents import (
     yaml_parser,
 )
 from cartulary.sources.files import read_files
-from cartulary.sources.legacy import read_legacy
+from cartulary.sources.legacy import legacy_documents, read_legacy
 
 yaml = pytest.importorskip("yaml")
 
@@ -160,6 +160,15 @@ def test_legacy_records(spark, tmp_path):
     assert [(r.id, r.key, r.country) for r in rows] == [("r1", "K", ["c"]), ("r2", None, None)]
 
 
+def test_legacy_files_are_accounted_for(spark, tmp_path):
+    for name, text in {"a": '[{"id":"r1","fields":{"key":"K"}},7,{"id":2}]', "b": '[{"id":', "c": '{"id":"x"}', "d": "[]", "e": ""}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    records, odd = legacy_documents(scan_documents(spark, str(tmp_path)))
+    assert sorted((r.id, r.key) for r in records.collect() if r.id) == [("r1", "K")] and records.count() == 2
+    assert sorted((r.path[-6], r.position, r.error) for r in odd.collect()) == [("a", 2, "not a record"), ("b", None, "malformed document"), ("c", None, "not a list of documents: object")]
+    assert read_legacy(spark, str(tmp_path / "b.json")).count() == 0
+
+
 def test_null_text_is_no_error(spark):
     df = spark.createDataFrame([(None,)], "text string")
     assert parse_documents(df, "text").first().error is None
