@@ -35,7 +35,6 @@ from cartulary.llm.shared import doc_id, keyed, partitions, read, store, text_si
 DEPTH = 4
 CHUNK_BYTES = 24_000_000
 END_MARK = 0xFF  # in no UTF-8 text
-WORD_BYTES = 6
 _LOG10 = float(np.log(10))
 
 
@@ -64,7 +63,7 @@ def grams_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, words = find_words(raw, offsets)
-    return hash_spans(raw, starts, ends) >> U64(64 - 8 * WORD_BYTES), words
+    return hash_spans(raw, starts, ends), words
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,6 +84,8 @@ def _counted(values: np.ndarray, train: np.ndarray) -> list[tuple[np.ndarray, np
 REQUESTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 REQUESTS_DDL = "kind int, bucket int, chunk int, keys binary, counts binary"
 GRAM, WORD = 0, 1
+# Bytes of a key: a gram as it is, a word by 64 bits (of 10^9 different words about 0.03 pairs fall together).
+KEY_BYTES = {GRAM: DEPTH + 1, WORD: 8}
 
 
 def _ask(buckets: int):
@@ -99,7 +100,7 @@ def _ask(buckets: int):
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1).astype(U64))
             for b in np.flatnonzero(np.diff(edges)):
                 part = order[edges[b] : edges[b + 1]]
-                rows.append({"kind": kind, "bucket": int(b), "chunk": chunk, "keys": pack(keys[part], 6), "counts": pack(counts[part], 6)})
+                rows.append({"kind": kind, "bucket": int(b), "chunk": chunk, "keys": pack(keys[part], KEY_BYTES[kind]), "counts": pack(counts[part], 6)})
         yield pa.RecordBatch.from_pylist(rows, REQUESTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,7 @@ def _ask(buckets: int):
 
 def _sum_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in by_bucket(batches):
-        keys, counts = _merged([(unpack(r["keys"], 6), unpack(r["counts"], 6).astype(np.int64)) for r in rows])
+        keys, counts = _merged([(unpack(r["keys"], KEY_BYTES[GRAM]), unpack(r["counts"], 6).astype(np.int64)) for r in rows])
         buckets = pa.array(np.full(len(keys), bucket, np.int32))
         yield pa.RecordBatch.from_arrays([buckets, pa.array(keys.astype(np.int64)), pa.array(counts)], names=["bucket", "gram", "n"])
 
@@ -138,7 +139,7 @@ REPLIES_DDL = "chunk int, kind int, keys binary, values binary, n long, v long"
 def _answer_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each chunk's words with their counts in all training texts; and the totals of the bucket, once."""
     for _, rows in by_bucket(batches):
-        own = [unpack(r["keys"], 6) for r in rows]
+        own = [unpack(r["keys"], KEY_BYTES[WORD]) for r in rows]
         keys, counts = _merged([(k, unpack(r["counts"], 6).astype(np.int64)) for k, r in zip(own, rows, strict=True)])
         out = [{"chunk": r["chunk"], "kind": WORD, "keys": r["keys"], "values": pack(counts[np.searchsorted(keys, k)], 6)} for k, r in zip(own, rows, strict=True)]
         out.append({"chunk": -1, "kind": WORD, "n": int(counts.sum()), "v": int((counts > 0).sum())})
@@ -153,7 +154,7 @@ def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         logs = np.concatenate([np.array(r["logs"]) for r in model])
         order = np.argsort(keys)
         keys, logs = keys[order], logs[order]
-        out = [{"chunk": r["chunk"], "kind": GRAM, "keys": r["keys"], "values": logs[np.searchsorted(keys, unpack(r["keys"], 6))].tobytes()} for r in rows if r["chunk"] >= 0]
+        out = [{"chunk": r["chunk"], "kind": GRAM, "keys": r["keys"], "values": logs[np.searchsorted(keys, unpack(r["keys"], KEY_BYTES[GRAM]))].tobytes()} for r in rows if r["chunk"] >= 0]
         yield pa.RecordBatch.from_pylist(out, REPLIES)
 
 
@@ -216,7 +217,7 @@ def _score(train_docs: int, train_tokens: int, vocabulary: int):
         answers = {}
         for kind, width in ((GRAM, 0), (WORD, 6)):
             rows = [r for r in replies.to_pylist() if r["kind"] == kind]
-            keys = np.concatenate([np.zeros(0, U64), *[unpack(r["keys"], 6) for r in rows]])
+            keys = np.concatenate([np.zeros(0, U64), *[unpack(r["keys"], KEY_BYTES[kind]) for r in rows]])
             values = np.concatenate([np.zeros(0), *[unpack(r["values"], 6).astype(np.float64) if width else np.frombuffer(r["values"]) for r in rows]])
             order = np.argsort(keys)
             answers[kind] = keys[order], values[order]
@@ -272,7 +273,9 @@ def context_tree_scores(docs: DataFrame) -> DataFrame:
     known, distinct = words.where("chunk < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     replies = words.where("chunk >= 0").unionByName(both.mapInArrow(_answer_grams, REPLIES_DDL)).select("chunk", "kind", "keys", "values")
     score = _score(train_docs, known + train_docs, distinct + (train_docs > 0))
-    scored = rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(score, SCORES_DDL)
+    # partitions by number, which are not merged at run time: a task holds a chunk or a few
+    sides = [x.repartition(max(parts, chunks), "chunk").groupBy("chunk") for x in (rows, replies)]
+    scored = sides[0].cogroup(sides[1]).applyInArrow(score, SCORES_DDL)
     return scored.select(doc_id(), *[c.split()[0] for c in SCORES_DDL.split(", ")[1:]])
 
 

@@ -93,6 +93,15 @@ def test_table_sample(spark):
     compare(ct.context_tree_scores(spark.createDataFrame(rows, "doc_id long, text string")), rows)
 
 
+def test_many_chunks_and_buckets_give_the_same(spark, monkeypatch):
+    """Some thirty chunks: words and grams of one chunk are answered from many buckets."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text[:400]) for r in docs.collect()][:60]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ct, "CHUNK_BYTES", 700)
+    compare(ct.context_tree_scores(table), rows)
+
+
 def test_held_out_texts_are_coded_in_fewer_bits(spark):
     found = ct.op6_context_tree_scores(spark, "/root/testdata/sf0.001").collect()
     held = [r for r in found if r.held_out]
