@@ -55,20 +55,12 @@ MESSAGES = {
     "entity_not_found": "wikidata_id validation: Entity %s not found in Wikidata",
     "entity_name_mismatch": "wikidata_id validation: Name mismatch: Wikidata label is '%s', entity name is '%s'",
 }
-# What stops a check half-way, and how values are called there.
+# What stops a check half-way, and how values are called there.
 STOPPED = {
-    "not_an_object": "'%s' object has no attribute 'get'",
-    "links_not_a_list": "'%s' object is not iterable",
-}
-TYPE_NAMES = {
-    "ARRAY": "list",
-    "STRING": "str",
-    "BIGINT": "int",
-    "DECIMAL": "float",
-    "DOUBLE": "float",
-    "BOOLEAN": "bool",
-    "VOID": "NoneType",
+    "not_an_object": "the document is no object but of type %s",
+    "links_not_a_list": "the links are no list but of type %s",
 }
+TYPE_NAMES = {"BIGINT": "integer", "DECIMAL": "number", "DOUBLE": "number", "VOID": "null"}
 PROBLEMS = {
     "invalid": "Invalid URL format",
     "timeout": "Request timeout",

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from cartulary.functions.plan import compute_once
 from cartulary.functions.text import squeeze
 
-ALIAS_KINDS = ("name", "official_name", "common_names", "other_names", "acronyms")
-
 
 def localised_name(names: Column, languages: Sequence[str], canonical: Column, key: str = "id") -> Column:
     """Name in the first listed language that has one, else the canonical name.

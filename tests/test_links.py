@@ -47,10 +47,10 @@ EXPECTED = {
     12: ["File is empty or contains only null"],
     13: ["File is empty or contains only null"],
     14: ["Error: malformed document"],
-    15: ["Error: 'list' object has no attribute 'get'"],
-    16: ["Error: 'str' object has no attribute 'get'"],
-    17: ["Error: 'NoneType' object is not iterable"],
-    18: ["Error: 'int' object is not iterable"],
+    15: ["Error: the document is no object but of type array"],
+    16: ["Error: the document is no object but of type string"],
+    17: ["Error: the links are no list but of type null"],
+    18: ["Error: the links are no list but of type integer"],
     19: ["Link 1: Invalid format (not a dictionary)"],
     20: ["Link 1: Invalid format (not a dictionary)", "Link 2: Invalid format (not a dictionary)"],
 }
