@@ -4,8 +4,8 @@ Unit vectors of cosine ``c`` are ``sqrt(2 - 2c)`` apart. They are rotated, so th
 special, and cut into ``BLOCKS`` parts. By the pigeonhole principle two that are near are near in some
 part: their squared distance there is within that part's share of the whole budget, in proportion to its
 dimensions. So each part is range-joined on its own. A grid over the first coordinates of the part, with
-cells twice the radius wide, brings near ones together: a vector is at home in one cell and visits those
-next to it that its ball touches. A pair counts in the first part that brings it together, for each of
+cells a little wider than the ball, brings near ones together: a vector is at home in one cell and visits those
+next to it that its ball touches, at most one on either axis. A pair counts in the first part that brings it together, for each of
 the two at its home, so that links are counted where they are found and no list of pairs is made. Of
 the links of a cell go out a count for each vector and edges that span what is connected, few however
 many pairs there are.
@@ -45,6 +45,8 @@ BLOCKS = 8
 CELL, ROWS = 8_192, 256
 # Units of a coordinate; the largest is 1.
 SCALE = 32_000
+# Beyond this the unit of a coordinate is too coarse for cells of a ball's width.
+MOST_COSINE = 0.999_999
 # A coordinate more leaves about so many times fewer vectors in a cell.
 FEWER = 3
 COUNT, EDGE, OPEN = range(3)
@@ -105,7 +107,7 @@ def _visits(cosine: float, depth: int, full: bool) -> Callable[[Iterator[pa.Reco
             for dim, rows in _by_dim(batch):
                 whole = _stack(rows.column("part"), "<i2", dim).astype(np.int64)
                 for number, (columns, radius) in enumerate(parts(dim, cosine)):
-                    wide = 2 * math.ceil(radius)
+                    wide = 2 * math.ceil(radius) + 1
                     at = whole[:, columns][:, :depth]
                     own = np.floor_divide(at, wide)
                     rest = at - own * wide
@@ -221,6 +223,8 @@ def _keys(label: str, vector: Column) -> list[Column]:
 
 def embedding_dedup(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of each row."""
+    if not 0 < cosine <= MOST_COSINE:
+        raise ValueError(f"no cosine between 0 and {MOST_COSINE}: {cosine}")
     vector = F.col(vector_col).cast("array<double>")
     keyed = rows.select(F.col(id_col).cast("long").alias("vec_id"), *_keys(label_col, vector), vector.alias("embedding"))
     keys = ["label", "h1", "h2"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import bags, connect
 
@@ -87,6 +88,31 @@ def test_chunks_and_depth_change_nothing(spark, monkeypatch, cell):
     assert got(embedding_dedup(table(spark, rows))) == brute(rows)
 
 
+def test_a_ball_touches_no_cell_that_is_not_visited():
+    """Of any two points within the radius each visits the other's home cell."""
+    rng = np.random.default_rng(6)
+    for dim in (8, 64):
+        radius = parts(dim, 0.98)[0][1]
+        x = np.rint(rng.uniform(-9000, 9000, (400, dim))).astype("<i2")
+        step = rng.standard_normal(x.shape)
+        columns = parts(dim, 0.98)[0][0]
+        step *= (radius - 1) / np.linalg.norm(step[:, columns], axis=1)[:, None]
+        y = np.rint(x + step).astype("<i2")
+        y[:, columns][((x[:, columns].astype(float) - y[:, columns]) ** 2).sum(1) > radius**2] = x[:, columns][((x[:, columns].astype(float) - y[:, columns]) ** 2).sum(1) > radius**2]
+        seen = []
+        for rows in (x, y):
+            n = len(rows)
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(["l"] * n), pa.array([dim] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["label", "dim", "node", "copies", "part"],
+            )
+            found = [r for b in method._visits(0.98, 3, True)(iter([batch])) for r in b.to_pylist() if r["number"] == 0]
+            seen.append(({(r["node"], r["cell"]) for r in found}, {r["node"]: r["cell"] for r in found if r["home"]}))
+            assert len(found) == len(seen[-1][0])
+        for mine, other in (seen, seen[::-1]):
+            assert all((node, cell) in mine[0] for node, cell in other[1].items())
+
+
 def test_chain(spark):
     """Links in a row: one component, though its ends are far from each other."""
     rows = [(100 - i, [math.cos(i * 0.19), math.sin(i * 0.19), 0.0], 1) for i in range(30)]
