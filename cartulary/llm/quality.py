@@ -157,11 +157,12 @@ def verdict(counted: DataFrame, limits: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), the counts, ``base_failed`` and ``kept``.
 
-    ``docs`` needs ``text, lang, source``. Texts are read twice and not shuffled.
+    ``docs`` needs ``text, lang, source``. Texts are counted once, written with their counts, and not shuffled.
     """
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "text", "lang", "source")
-    limits = store(thresholds(sketch(count_words(docs.select("text", "lang", "source")))), "fences")
-    return verdict(count_words(rows), limits)
+    counted = store(count_words(rows), "counted")
+    limits = store(thresholds(sketch(counted)), "fences")
+    return verdict(counted, limits)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartulary.llm import decontamination, line_dedup, minhash_dedup, packing, quality
-from cartulary.llm.shared import NO_ID, keyed, partitions, read, salt_of, store
+from cartulary.llm.shared import NO_ID, keyed, read, salt_of, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,9 +39,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one document stays, that of the least id."""
     kept = minhash_dedup.near_duplicates(keyed(docs)).where("row = class_row").select("doc", "salt").distinct()
-    rows = _with_key(docs).repartition(partitions(spark), "doc", "salt").join(kept, ["doc", "salt"])
-    nth = F.row_number().over(Window.partitionBy("doc", "salt").orderBy(F.xxhash64("row")))
-    return rows.select("row", nth.alias("nth")).where("nth = 1").select("row.*")
+    # rows equal in id and text are one before they are moved
+    rows = _with_key(docs).groupBy("doc", "salt").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.join(kept, ["doc", "salt"]).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
