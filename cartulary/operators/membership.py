@@ -127,41 +127,56 @@ def overlap(pairs: DataFrame, compare: DataFrame, block: str = "block", member:
     )
 
 
+def signature(member: Column) -> Column:
+    """Aggregate: 64 bits, one set for each member by its hash; sets differ in at least as many members as bits."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(member), F.lit(64)).cast("int")))
+
+
 def similar_pairs(pairs: DataFrame, least: float, block: str = "block", member: str = "member") -> DataFrame:
     """Pairs of different blocks, ``first < second``, that may reach a Jaccard similarity of ``least``: none is missed.
 
-    Members are ordered by how many blocks have them. Blocks that are similar share one
+    Members are ordered by how many rows name them. Blocks that are similar share one
     of the first, rarest few members of each: of ``n`` members the first ``n - ceil(least * n) + 1``.
-    Only these are joined, and only blocks whose sizes allow the similarity. A member that
+    Only these are joined, and only blocks whose sizes and signatures allow the similarity, so pairs that
+    share a member and little else end within the join. A member that
     very many blocks have comes last, and is compared where blocks hold little else.
     """
-    members = pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member"))
-    members = members.filter(F.col("_block").isNotNull() & F.col("_member").isNotNull()).distinct()
-    rarity = members.groupBy("_member").agg(F.count("*").alias("_blocks"))
-    sizes = members.groupBy("_block").agg(F.count("*").alias("_size"))
-    ranked = members.join(rarity, "_member").join(sizes, "_block")
-    by_rarity = Window.partitionBy("_block").orderBy("_blocks", "_member")
+    rows = pairs.select(F.col(block).alias("_block"), F.col(member).alias("_member"))
+    rows = rows.filter(F.col("_block").isNotNull() & F.col("_member").isNotNull())
+    rarity = rows.groupBy("_member").agg(F.count("*").alias("_rows"))
+    # each row moves once by its member and once by its block, where copies of it go
+    members = rows.join(rarity, "_member").repartition("_block").distinct()
+    whole = Window.partitionBy("_block")
+    by_rarity = whole.orderBy("_rows", "_member")
     # a margin against rounding: a longer prefix loses nothing
     kept = F.col("_size") - F.ceil(F.col("_size") * least - 1e-9) + 1
-    prefix = ranked.withColumn("_rank", F.row_number().over(by_rarity)).filter(F.col("_rank") <= kept)
-    left = prefix.select("_member", F.col("_block").alias("first"), F.col("_size").alias("_n"), F.col("_rank").alias("_i"))
-    right = prefix.select("_member", F.col("_block").alias("second"), F.col("_size").alias("_m"), F.col("_rank").alias("_j"))
+    ranked = members.select(
+        "_block", "_member",
+        F.row_number().over(by_rarity).alias("_rank"), F.count("*").over(whole).alias("_size"), signature(F.col("_member")).over(whole).alias("_bits"),
+    )
+    prefix = ranked.filter(F.col("_rank") <= kept)
+    left = prefix.select("_member", F.col("_block").alias("first"), F.col("_size").alias("_n"), F.col("_rank").alias("_i"), F.col("_bits").alias("_a"))
+    right = prefix.select("_member", F.col("_block").alias("second"), F.col("_size").alias("_m"), F.col("_rank").alias("_j"), F.col("_bits").alias("_b"))
     n, m = F.col("_n"), F.col("_m")
-    # what can be shared from this member on, against what the similarity asks for
+    # what can be shared from this member on, against what the similarity asks for; and what it lets differ
     rest = F.least(n - F.col("_i"), m - F.col("_j")) + F.least("_i", "_j")
     fits = (F.least(n, m) + 1e-9 >= F.greatest(n, m) * least) & (rest + 1e-9 >= (n + m) * (least / (1 + least)))
-    return left.join(right, "_member").filter((F.col("first") < F.col("second")) & fits).select("first", "second").distinct()
+    near = F.bit_count(F.col("_a").bitwiseXOR(F.col("_b"))) <= (n + m) * ((1 - least) / (1 + least)) + 1e-9
+    return left.join(right, "_member").filter((F.col("first") < F.col("second")) & fits & near).select("first", "second").distinct()
 
 
 def similar_blocks(pairs: DataFrame, least: float, block: str = "block", member: str = "member") -> DataFrame:
     """All pairs of blocks with a Jaccard similarity of at least ``least``, as ``overlap`` gives them.
 
     ``least`` is above 0: blocks that share nothing are not found. The candidates are compared
-    exactly, from the smaller block of each.
+    exactly, from the smaller block of each; only the members of their blocks are looked at again.
     """
     if not 0 < least <= 1:
         raise ValueError(f"no similarity: {least}")
-    found = overlap(pairs, similar_pairs(pairs, least, block, member), block, member)
+    enable_checkpoints(pairs.sparkSession)
+    candidates = similar_pairs(pairs, least, block, member).checkpoint()
+    asked = candidates.select(F.explode(F.array("first", "second")).alias(block)).distinct()
+    found = overlap(pairs.join(asked, block, "left_semi"), candidates, block, member)
     return found.filter(F.col("n_shared") + 1e-9 >= F.col("n_union") * least)
 
 

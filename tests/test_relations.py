@@ -156,6 +156,16 @@ def test_few_pairs_are_candidates(spark):
     assert similar_pairs(pairs, 0.6).count() <= 400
 
 
+def test_pairs_that_share_one_member_are_no_candidates(spark):
+    """400 blocks of four members out of 100: thousands of pairs share one, few could share half."""
+    rng = random.Random(5)
+    blocks = {b: set(rng.sample(range(100), 4)) for b in range(400)}
+    pairs = spark.createDataFrame([(b, m) for b, ms in blocks.items() for m in ms], "block long, member long")
+    similar = {(a, b) for a in blocks for b in blocks if a < b and len(blocks[a] & blocks[b]) >= 3}
+    found = {tuple(r) for r in similar_pairs(pairs, 0.6).collect()}
+    assert similar <= found and len(found) < 400
+
+
 def test_days_and_intervals_do_not_multiply(spark):
     """A member with 3,650 days and 200 intervals of some days, two of them open: rows meet within their year only."""
     days = spark.range(3650).selectExpr("1 AS m", "date_add(DATE '2000-01-01', CAST(id AS INT)) AS day", "id").repartition(4)
