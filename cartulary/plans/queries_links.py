@@ -355,7 +355,8 @@ def document_verdicts(t: Tables) -> DataFrame:
 
 
 # Two links a page, and what probes of the first said by the page's number: none; an old failure and a later success;
-# the reverse; one that is stale; a refused HEAD with a GET; one from after the check; a timeout.
+# the reverse; one that is stale; a refused HEAD with a GET; one from after the check; a timeout. Pages may share a URL, and
+# so its probes: of those of one time the greatest status counts, then the greatest error.
 ONLINE_SQL = """
 probe AS (
   SELECT url, m AS method, TIMESTAMP '2024-06-01 00:00:00' - to_days(CAST(days AS INTEGER)) AS probed_at, status, error
@@ -369,7 +370,8 @@ link AS (
 fresh AS (
   SELECT * FROM probe WHERE probed_at <= TIMESTAMP '2024-06-01 00:00:00' AND probed_at >= TIMESTAMP '2023-06-02 00:00:00'),
 last AS (
-  SELECT url, method, arg_max(struct_pack(s := status, e := error), probed_at) AS shot FROM fresh GROUP BY url, method),
+  SELECT url, method, struct_pack(s := status, e := error) AS shot FROM fresh
+  QUALIFY row_number() OVER (PARTITION BY url, method ORDER BY probed_at DESC, coalesce(status, -1) DESC, coalesce(error, '') DESC) = 1),
 shot AS (
   SELECT page_id, position, CASE WHEN h.shot.s = 405 THEN g.shot ELSE h.shot END AS shot
   FROM link LEFT JOIN last h ON h.url = link.url AND h.method = 'HEAD' LEFT JOIN last g ON g.url = link.url AND g.method = 'GET'),
