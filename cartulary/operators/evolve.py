@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartulary.functions.variants import as_elements, as_fields, edit_elements, field, is_object
+from cartulary.session import enable_checkpoints
+
+PART_MEMBERS = 10_000
 
 
 def merge_members(existing: DataFrame, additions: DataFrame, keys: Sequence[str] = ("block", "member")) -> DataFrame:
@@ -33,6 +36,27 @@ def generate_blocks(df: DataFrame, attribute: str, member: str, fields: Sequence
     return rows.join(rows.groupBy("block").agg(F.count("*").alias("membership_count")), "block")
 
 
+def list_blocks(blocks: DataFrame, fields: Sequence[str] = (), size: int = PART_MEMBERS) -> DataFrame:
+    """Generated blocks with their members listed: ``block, part, n_parts, membership_count, includes``.
+
+    ``includes`` has the members (``id``, the fields) in their order. A block of over ``size`` members has
+    several rows, of consecutive members, which together hold all of them. Rows are dealt by ranges of
+    block and member and numbered within these, so that no task gathers a block.
+    """
+    enable_checkpoints(blocks.sparkSession)
+    order = ["member", *fields]
+    dealt = blocks.repartitionByRange("block", *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    sizes = dealt.groupBy("block", "_range").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("block").orderBy("_range")  # a row for each range of a block
+    before = sizes.select("block", "_range", (F.sum("_n").over(earlier) - F.col("_n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("block", "_range").orderBy(*order)) + F.col("_before")
+    placed = dealt.join(before, ["block", "_range"]).withColumn("part", F.ceil(place / size).cast("int"))
+    includes = F.sort_array(F.collect_list(F.struct(F.col("member").alias("id"), *fields)))
+    listed = placed.groupBy("block", "part", "membership_count").agg(includes.alias("includes"))
+    n_parts = F.ceil(F.col("membership_count") / size).cast("int")
+    return listed.select("block", "part", n_parts.alias("n_parts"), "membership_count", "includes")
+
+
 def migrate_field(
     df: DataFrame,
     doc: str,

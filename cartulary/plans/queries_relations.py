@@ -9,7 +9,7 @@ from cartulary.functions.text import WHITESPACE
 from cartulary.functions.variants import as_elements, as_text, field
 from cartulary.operators.conform import conform
 from cartulary.operators.enrich import crosswalk, dangling, enrich, resolve_codes
-from cartulary.operators.evolve import generate_blocks, merge_members, migrate_field
+from cartulary.operators.evolve import generate_blocks, list_blocks, merge_members, migrate_field
 from cartulary.operators.facets import daily_sketches, facets_between, array_facets, count_differences, facet_counts
 from cartulary.operators.graph import ancestor_closure, edges, missing_reverse
 from cartulary.operators.identity import duplicates, keep_one
@@ -360,12 +360,19 @@ def member_merge(t: Tables) -> DataFrame:
 @query(
     "d15_group_generation",
     """
-    SELECT c_nationkey AS block, c_custkey AS member, c_name, count(*) OVER (PARTITION BY c_nationkey) AS membership_count
-    FROM customer
+    WITH r AS (
+      SELECT c_nationkey AS block, c_custkey, c_name, count(*) OVER (PARTITION BY c_nationkey) AS n,
+             row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey, c_name) AS place
+      FROM customer)
+    SELECT block, CAST((place + 9999) // 10000 AS INTEGER) AS part, CAST((n + 9999) // 10000 AS INTEGER) AS n_parts,
+           n AS membership_count, string_agg(c_custkey || ':' || c_name, ',' ORDER BY c_custkey, c_name) AS includes
+    FROM r GROUP BY 1, 2, 3, 4
     """,
 )
 def group_generation(t: Tables) -> DataFrame:
-    return generate_blocks(t.customer, "c_nationkey", "c_custkey", ["c_name"])
+    blocks = list_blocks(generate_blocks(t.customer, "c_nationkey", "c_custkey", ["c_name"]), ["c_name"])
+    listed = F.transform("includes", lambda m: F.concat(m["id"], F.lit(":"), m["c_name"]))
+    return blocks.withColumn("includes", F.array_join(listed, ","))
 
 
 @query(

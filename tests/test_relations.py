@@ -28,6 +28,7 @@ from cartulary.operators.membership import (
 )
 from cartulary.operators.names import alias_table, localised_name, resolve_mentions
 from cartulary.operators.unnest import unnest
+from cartulary.plans.registry import queries
 
 
 def bag(df):
@@ -280,6 +281,21 @@ def test_generated_blocks_hold_every_member_at_any_size(spark):
     assert counts == {"big": (20_001, 20_001, 20_001), "small": (2, 2, 1)}
 
 
+def test_listed_blocks_hold_their_members_in_order(spark, tmp_path):
+    """The list of a block, in parts of 10,000 where it is longer."""
+    customers = spark.range(20_001).selectExpr("20000 - id AS c_custkey", "concat('n', id) AS c_name", "1 AS c_nationkey").unionByName(
+        spark.createDataFrame([(7, "b", 2), (5, "a", 2), (5, "a", 2), (1, "z", None)], "c_custkey long, c_name string, c_nationkey int")
+    )
+    customers.repartition(5).write.parquet(str(tmp_path / "customer.parquet"))
+    rows = queries()["d15_group_generation"](spark, str(tmp_path)).collect()
+    found = {(r.block, r.part, r.n_parts, r.membership_count): r.includes.split(",") for r in rows}
+    every = [f"{i}:n{20000 - i}" for i in range(20_001)]
+    assert found == {
+        (1, 1, 3, 20_001): every[:10_000], (1, 2, 3, 20_001): every[10_000:20_000], (1, 3, 3, 20_001): every[20_000:],
+        (2, 1, 1, 3): ["5:a", "5:a", "7:b"],
+    }
+
+
 def test_field_migration(documents):
     parsed = documents(
         '{"id":1,"translations":[{"lang":"en","name":"x","z":1},"bare"]}',
