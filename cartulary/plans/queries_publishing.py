@@ -16,7 +16,7 @@ from cartulary.plans.build import build_parsed
 from cartulary.plans.queries_documents import block_text, docs
 from cartulary.plans.registry import Tables, arr, obj, query, quote
 from cartulary.schemas import block_schema
-from cartulary.session import scratch_path
+from cartulary.session import scratch_path, spread
 from cartulary.sinks.publish import (
     merge_published,
     publish,
@@ -61,7 +61,7 @@ def json_lines_round_trip(t: Tables) -> DataFrame:
         notes=quote(F.concat(F.lit("é "), F.col("c_nationkey"))),
     )
     path = scratch_path(t.spark, "jsonl")
-    write_json_lines(docs(t.customer, text), path, "doc")
+    write_json_lines(docs(spread(t.customer), text), path, "doc")
     doc = F.col("doc")
     return read_json_lines(t.spark, path).select(
         as_text(field(doc, "id")).cast("bigint").alias("id"),
@@ -79,7 +79,7 @@ def json_lines_round_trip(t: Tables) -> DataFrame:
     """,
 )
 def parquet_round_trip(t: Tables) -> DataFrame:
-    typed = conform(docs(t.part, block_text()), "doc", block_schema(), rules=rules_for("intblocks"))
+    typed = conform(docs(spread(t.part), block_text()), "doc", block_schema(), rules=rules_for("intblocks"))
     path = scratch_path(t.spark, "parquet")
     write_parquet(typed, path)
     return t.spark.read.parquet(path).select(
@@ -111,7 +111,7 @@ def relational_publish(t: Tables) -> DataFrame:
     """,
 )
 def publish_plan(t: Tables) -> DataFrame:
-    parsed = docs(t.part, block_text())
+    parsed = docs(spread(t.part), block_text())
     rules = rules_for("intblocks")
     tables = {"blocks": conform(parsed, "doc", block_schema(), rules=rules), "customer": t.customer}
     output = scratch_path(t.spark, "build")
@@ -148,8 +148,8 @@ def country_text() -> Column:
 )
 def build_accounts(t: Tables) -> DataFrame:
     parsed = {
-        "countries": docs(t.customer.withColumn("path", F.col("c_custkey").cast("string")), country_text(), "path"),
-        "intblocks": docs(t.part.withColumn("path", F.col("p_partkey").cast("string")), block_text(), "path"),
+        "countries": docs(spread(t.customer).withColumn("path", F.col("c_custkey").cast("string")), country_text(), "path"),
+        "intblocks": docs(spread(t.part).withColumn("path", F.col("p_partkey").cast("string")), block_text(), "path"),
     }
     return build_parsed(t.spark, parsed, scratch_path(t.spark, "build"), "parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Left to the cluster: master, memory, shuffle partitions. AQE coalesces small shuffle
 # partitions, switches to a broadcast only from measured sizes, and splits skewed ones,
@@ -53,3 +53,11 @@ def enable_checkpoints(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/cartulary/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, times: int = 2) -> DataFrame:
+    """Rows dealt over all cores, before work that takes far longer than reading them.
+
+    A small file of many rows is read by one or two tasks, and so would be all that is made from it.
+    """
+    return df.repartition(times * df.sparkSession.sparkContext.defaultParallelism)
