@@ -212,7 +212,13 @@ def bucketed_join(t: Tables) -> DataFrame:
     return joined.groupBy("o_orderpriority").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("quantity"))
 
 
-def published_buckets(t: Tables, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+BUCKET_ROWS = 1_000_000
+
+
+def published_buckets(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Both tables in as many buckets as the larger one asks for: a bucket is sorted, written and joined by one task."""
+    most = max(t.orders.count(), t.lineitem.count())
+    buckets = max(8, -(-most // BUCKET_ROWS))
     for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
         table = f"cartulary_by_order_{name}"
         write_table(getattr(t, name), table, scratch_path(t.spark, table), buckets, [key])
