@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cartulary.llm.anchors import pick_anchors
 from cartulary.llm.arrays import U64, mix, powers, ragged, slices, text_bytes
-from cartulary.llm.shared import SALT_BYTES, partitions, store, text_size
+from cartulary.llm.shared import SALT_BYTES, partitions, shuffles_removed, store, text_size
 
 BUCKET_BYTES = 8_000_000
 EMIT = 1_000_000
@@ -257,13 +257,14 @@ def with_repeats(docs: DataFrame, sequences: Sequences, matcher: Matcher, window
     spark = docs.sparkSession
     parts = partitions(spark)
     buckets = max(4 * parts, text_size(docs) // BUCKET_BYTES)
-    replies = store(
-        docs.mapInArrow(_emit_anchors(sequences, window, gram, buckets), ANCHORS_DDL)
-        .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_find_repeats, REPLIES_DDL),
-        name,
-    )
+    with shuffles_removed(spark):  # the anchors, before texts and contexts move
+        replies = store(
+            docs.mapInArrow(_emit_anchors(sequences, window, gram, buckets), ANCHORS_DDL)
+            .repartition(parts, "bucket")
+            .sortWithinPartitions("bucket")
+            .mapInArrow(_find_repeats, REPLIES_DDL),
+            name,
+        )
     texts = docs.repartition(parts, "doc", "salt")
     asked = replies.where("asked IS NOT NULL").groupBy("doc", "salt").agg(F.collect_list("asked").alias("asked"))
     looked = (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files behind, which else lie on disk until the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def salt_of(text: Column) -> Column:
     """What tells rows of one id apart: ``SALT_BYTES`` of SHA-256, as rows that share an id (such as null) may be millions."""
     return F.unhex(F.substring(F.sha2(text, 256), 1, 2 * SALT_BYTES))

@@ -12,6 +12,7 @@ import pytest
 from cartulary.llm import repeats
 from cartulary.llm.anchors import pick_anchors
 from cartulary.llm.arrays import BYTE_VALUES
+from cartulary.llm.shared import store
 from cartulary.llm.substring_dedup import op1_substring_dedup, substring_dedup
 from cartulary.llm.suffix_dedup import match, op3_suffix_dedup, suffix_dedup
 
@@ -131,3 +132,13 @@ def test_buckets_are_as_many_as_asked():
     bucket, rest = repeats.bucket_of(prints, 1_000_000)
     assert len(np.unique(bucket)) > 950_000 and np.bincount(bucket.astype(np.int64)).max() < 40
     assert len(np.unique(bucket * np.uint64(1 << 44) + rest)) == len(np.unique(prints)) and int(rest.max()) < 1 << 48
+
+
+def test_anchors_leave_no_shuffle_files(spark):
+    """They are removed once the replies are written; the setting is as before afterwards."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name), []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(repeats, "store", lambda df, _: seen.append(spark.conf.get(name)) or store(df, "replies"))
+        op3_suffix_dedup(spark, SF_DIR)
+    assert seen == ["true"] and spark.conf.get(name) == before
