@@ -183,7 +183,11 @@ def _bits(grams: DataFrame) -> DataFrame:
 
 
 def model(grams: DataFrame) -> DataFrame:
-    """``gram, log_p`` for each of ``grams`` (``gram, n``): the natural log of the byte's probability in its context."""
+    """``bucket, gram, log_p`` for each of ``grams`` (``bucket, gram, n``): the natural log of the byte's probability in its context.
+
+    Joins are by sorting at any size: the files of a level are several times smaller than its rows in memory, and by the
+    size of the files Spark would gather a level of hundreds of thousands of nodes in the driver to broadcast it.
+    """
     bits = _bits(grams)
     once = lambda b: F.sum(F.when(F.col("bit") == b, F.col("n")).otherwise(0))
     deepest = bits.groupBy("context", "node").agg(once(0).alias("zeros"), once(1).alias("ones"))
@@ -201,9 +205,9 @@ def model(grams: DataFrame) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         above = mixed.select(F.col("context").alias("parent"), "node", F.col("p_one").alias("p"), F.col("rest").alias("r"))
         level = levels[DEPTH - depth].withColumn("parent", F.col("context").bitwiseAND((1 << (8 * (depth - 1))) - 1))
-        mixed = level.join(above, ["parent", "node"]).select("context", "node", (F.col("p") + F.col("r") * stop * one).alias("p_one"), (F.col("r") * (1 - stop)).alias("rest"))
-    chosen = bits.select("gram", "context", "node", "bit").join(mixed, ["context", "node"])
-    return chosen.groupBy("gram").agg(F.sum(F.log(F.when(F.col("bit") == 1, F.col("p_one")).otherwise(1 - F.col("p_one")))).alias("log_p"))
+        mixed = level.join(above.hint("merge"), ["parent", "node"]).select("context", "node", (F.col("p") + F.col("r") * stop * one).alias("p_one"), (F.col("r") * (1 - stop)).alias("rest"))
+    chosen = bits.select("bucket", "gram", "context", "node", "bit").join(mixed.hint("merge"), ["context", "node"])
+    return chosen.groupBy("bucket", "gram").agg(F.sum(F.log(F.when(F.col("bit") == 1, F.col("p_one")).otherwise(1 - F.col("p_one")))).alias("log_p"))
 
 
 SCORES = pa.schema([("doc", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
@@ -264,8 +268,7 @@ def context_tree_scores(docs: DataFrame) -> DataFrame:
     asked = store(rows.repartition(parts, "chunk").sortWithinPartitions("chunk").mapInArrow(_ask(max(4 * parts, chunks)), REQUESTS_DDL), "requests")
     dealt = lambda kind: asked.where(F.col("kind") == kind).drop("kind").repartition(parts, "bucket").sortWithinPartitions("bucket")
     grams = store(dealt(GRAM).mapInArrow(_sum_grams, "bucket int, gram long, n long"), "grams")
-    predicted = model(grams.drop("bucket")).join(grams.drop("n"), "gram")
-    predicted = predicted.groupBy("bucket").agg(F.collect_list(F.struct("gram", "log_p")).alias("rows"))  # a bucket has a bounded part of the grams
+    predicted = model(grams).groupBy("bucket").agg(F.collect_list(F.struct("gram", "log_p")).alias("rows"))  # a bucket has a bounded part of the grams
     predicted = predicted.select("bucket", F.lit(-1).alias("chunk"), F.lit(None).cast("binary").alias("keys"), F.col("rows.gram").alias("grams"), F.col("rows.log_p").alias("logs"))
     questions = asked.where(F.col("kind") == GRAM).select("bucket", "chunk", "keys", F.lit(None).cast("array<long>").alias("grams"), F.lit(None).cast("array<double>").alias("logs"))
     both = questions.unionByName(predicted).repartition(parts, "bucket").sortWithinPartitions("bucket")

@@ -102,6 +102,16 @@ def test_many_chunks_and_buckets_give_the_same(spark, monkeypatch):
     compare(ct.context_tree_scores(table), rows)
 
 
+def test_no_table_of_the_model_goes_through_the_driver(spark):
+    """Levels of trees join by sorting as planned and as run: a broadcast of them grows in the driver with the corpus."""
+    found = ct.context_tree_scores(spark.createDataFrame([(i, f"some text {i}") for i in range(40)], "doc_id long, text string"))
+    plan = found._jdf.queryExecution().executedPlan()
+    for final in ("false", "true"):
+        text = plan.toString()
+        assert f"isFinalPlan={final}" in text and "SortMergeJoin" in text and "Broadcast" not in text
+        assert len(found.collect()) == 40
+
+
 def test_held_out_texts_are_coded_in_fewer_bits(spark):
     found = ct.op6_context_tree_scores(spark, "/root/testdata/sf0.001").collect()
     held = [r for r in found if r.held_out]
